@@ -28,6 +28,9 @@ from presslake.operators.rules import (
 PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
 
 _FIELDS = ("category", "title", "link", "description")
+RULE_COLUMNS = (
+    "rule", "link_mode", "base_url", "require_link", *[f"no_{name}" for name in _FIELDS],
+)
 _PARSED_DDL = (
     "items array<struct<category: string, title: string, link: string, description: string>>, "
     "error string"
@@ -138,57 +141,69 @@ def is_valid(
     return (title != no_title) & linked
 
 
-def _finish(item: Column, pos: Column) -> Column:
-    filled = {
+def _finished(item: Column) -> dict[str, Column]:
+    """The fields of a raw item, filled in and with its link resolved."""
+    fields = {
         name: fill(item[name], F.col(f"no_{name}")) for name in ("category", "title", "description")
     }
-    link = resolve_link(item["link"], F.col("link_mode"), F.col("base_url"), F.col("no_link"))
-    return F.struct(
-        pos.alias("pos"),
-        filled["category"].alias("category"),
-        filled["title"].alias("title"),
-        link.alias("link"),
-        filled["description"].alias("description"),
+    fields["link"] = resolve_link(
+        item["link"], F.col("link_mode"), F.col("base_url"), F.col("no_link")
     )
+    return fields
+
+
+def _valid(title: Column, link: Column) -> Column:
+    return is_valid(title, link, F.col("no_title"), F.col("no_link"), F.col("require_link"))
 
 
-def page_headlines(
+def parse_pages(
     pages: DataFrame, rules: Mapping[str, RuleSet] | RuleSet, mode: str = PERMISSIVE
 ) -> DataFrame:
-    """One row per page of a known source, with its valid headlines as an array.
+    """One row per page of a known source, with its raw items as an array.
 
     ``pages`` has ``html`` and, for rules by source, ``source``; its other
     columns are kept, ``html`` is not. ``error`` says why a page could not be
     read; with ``FAILFAST`` the first such page fails the query.
     """
-    kept = [F.col(name) for name in pages.columns if name not in ("html", "error")]
+    kept = [name for name in pages.columns if name not in ("html", "error")]
     earlier = F.col("error") if "error" in pages.columns else F.lit(None).cast("string")
     parsed = dispatch(pages, rules).withColumn(
         "_parsed", _reader(rules, mode)(F.col("html"), F.col("rule"))
     )
-    valid = F.filter(
-        F.transform("_parsed.items", _finish),
-        lambda item: is_valid(
-            item["title"], item["link"], F.col("no_title"), F.col("no_link"), F.col("require_link")
-        ),
-    )
     return parsed.select(
         *kept,
-        valid.alias("headlines"),
+        *RULE_COLUMNS,
+        F.col("_parsed.items").alias("items"),
         F.coalesce(earlier, F.col("_parsed.error")).alias("error"),
     )
 
 
-def headline_rows(pages: DataFrame) -> DataFrame:
-    """The headlines of ``page_headlines`` as rows; a page without any gives none."""
-    kept = [F.col(name) for name in pages.columns if name not in ("headlines", "error")]
-    return pages.select(*kept, F.inline("headlines"))
+def headline_count() -> Column:
+    """How many valid headlines a parsed page has."""
+
+    def valid(item: Column) -> Column:
+        fields = _finished(item)
+        return _valid(fields["title"], fields["link"])
+
+    return F.size(F.filter("items", valid))
+
+
+def headline_rows(parsed: DataFrame) -> DataFrame:
+    """The valid headlines of parsed pages as rows; a page without any gives none.
+
+    Fill-in texts come before the validity test, which compares with them.
+    """
+    kept = [name for name in parsed.columns if name not in (*RULE_COLUMNS, "items", "error")]
+    items = parsed.select(*kept, *RULE_COLUMNS, F.posexplode("items").alias("pos", "item"))
+    fields = _finished(F.col("item"))
+    rows = items.select(*kept, *RULE_COLUMNS, "pos", *[fields[name].alias(name) for name in _FIELDS])
+    return rows.filter(_valid(F.col("title"), F.col("link"))).select(*kept, "pos", *_FIELDS)
 
 
 def extract_headlines(
     pages: DataFrame, rules: Mapping[str, RuleSet] | RuleSet, mode: str = PERMISSIVE
 ) -> DataFrame:
-    return headline_rows(page_headlines(pages, rules, mode))
+    return headline_rows(parse_pages(pages, rules, mode))
 
 
 def final_columns(headlines: DataFrame, *keep: str, as_of=None) -> DataFrame:

@@ -13,10 +13,12 @@ from presslake.operators.catalog import register_final
 from presslake.operators.collisions import KEEP_ALL, LAST, last_writers
 from presslake.operators.extract import (
     PERMISSIVE,
+    RULE_COLUMNS,
     extract_headlines,
     final_columns,
+    headline_count,
     headline_rows,
-    page_headlines,
+    parse_pages,
     unknown_sources,
     with_source,
 )
@@ -31,7 +33,7 @@ def partitioned_files(
 ) -> DataFrame:
     """Pages read by the rules of their key's source; what cannot be placed in a
     partition carries an error."""
-    files = page_headlines(with_source(pages), rules, mode)
+    files = parse_pages(with_source(pages), rules, mode)
     return files.withColumn("error", F.coalesce("error", key_error(F.col("key"))))
 
 
@@ -43,9 +45,11 @@ def placed_headlines(
         raise ValueError(f"on_collision is {KEEP_ALL!r} or {LAST!r}, not {on_collision!r}")
     good = files.filter(F.col("error").isNull())
     if on_collision == LAST:
-        good = last_writers(good.filter(F.size("headlines") > 0), as_of)
+        good = last_writers(good.filter(headline_count() > 0), as_of)
     fields = partition_fields(F.col("key"), as_of)
-    placed = good.select(*[value.alias(name) for name, value in fields.items()], "headlines")
+    placed = good.select(
+        *[value.alias(name) for name, value in fields.items()], *RULE_COLUMNS, "items"
+    )
     return final_columns(headline_rows(placed), *FINAL_PARTITIONS, as_of=as_of).select(
         "categoria", "titular", "enlace", "fecha_extraccion", *FINAL_PARTITIONS
     )

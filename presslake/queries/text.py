@@ -9,14 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from presslake.functions.text import HEADLINE_KEYWORDS, keyword_label, normalize, tokens
-from presslake.operators.classifier import fit_classifier
 from presslake.operators.report import (
     accuracy,
     class_scores,
     classification_report,
     report_lines,
 )
-from presslake.operators.split import TEST, TRAIN, train_test_split
+from presslake.operators.split import train_test_split
 from presslake.operators.tfidf import fit_tfidf, idf, term_statistics, tfidf_weights, vocabulary
 from presslake.plans.classify import evaluate, labelled_titles, preview
 from presslake.queries.registry import query, table
@@ -222,11 +221,8 @@ def _language_classes(documents):
 @query()
 def train_predict(spark, sf_dir):
     """Languages of the test documents as predicted; checked by the tests."""
-    parts = materialize(_language_classes(_split(spark, sf_dir, "text")), "split")
-    train = parts.filter(F.col("split") == TRAIN)
-    test = parts.filter(F.col("split") == TEST)
-    classifier = fit_classifier(train, "text", "label")
-    return classifier.predict(test, "text").select("doc_id", "label", "prediction")
+    documents = _language_classes(_documents(spark, sf_dir)).select("doc_id", "text", "label")
+    return evaluate(documents, "doc_id", "text").predictions.select("doc_id", "label", "prediction")
 
 
 @query()

@@ -6,6 +6,7 @@ import functools
 import os
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
+# Rows per task of a table that is read over and over.
+LEAST_ROWS, MOST_ROWS = 2_500, 5_000_000
+
 
 def local_session(cores: int | str = "*", name: str = "presslake") -> SparkSession:
     """A single-JVM session for tests and benchmarks; clusters bring their own."""
@@ -70,3 +74,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, row_id: str, n_rows: int) -> DataFrame:
+    """Deal rows out evenly by a unique id, for a table read hundreds of times.
+
+    All cores get a share, but none so small that starting its task costs more
+    than reading it, nor so large that it does not fit a task.
+    """
+    spark = df.sparkSession
+    cores = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    parts = max(min(cores, ceil(n_rows / LEAST_ROWS)), ceil(n_rows / MOST_ROWS), 1)
+    return df.repartition(parts, row_id)
