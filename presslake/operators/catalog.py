@@ -16,7 +16,7 @@ def register_final(spark: SparkSession, table: str, location: str) -> None:
     spark.sql(
         f"""
         CREATE TABLE IF NOT EXISTS {table} ({columns}) USING csv
-        OPTIONS (header 'true', sep ';', escape '"', multiLine 'true')
+        OPTIONS (header 'true', sep ';', escape '"', multiLine 'true', nullValue '\\u0000')
         PARTITIONED BY ({", ".join(FINAL_PARTITIONS)})
         LOCATION '{location}'
         """

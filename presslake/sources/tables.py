@@ -8,8 +8,15 @@ from pyspark.sql import types as T
 
 from presslake.schemas import FINAL_PARTITIONS, PROCESSED_HEADLINE, SCRAPED_HEADLINE
 
-# Doubled quotes and line breaks inside quoted fields.
-CSV_DIALECT = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False}
+# Doubled quotes and line breaks inside quoted fields; a quoted empty field is
+# an empty string, only an unquoted one is null.
+CSV_DIALECT = {
+    "header": True,
+    "escape": '"',
+    "multiLine": True,
+    "enforceSchema": False,
+    "nullValue": "\0",
+}
 
 
 def scan_headline_csv(
