@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,13 +26,26 @@ def normalize(title: Column) -> Column:
     return F.trim(F.regexp_replace(lowered, f"[^{WORD}]", " "))
 
 
+def has_words(title: Column) -> Column:
+    """Whether the normal form of a title is not empty; stops at its first word."""
+    return F.coalesce(title.cast("string").rlike(f"[{WORD}]"), F.lit(False))
+
+
+def _occurs(title: Column, pattern: str) -> Column:
+    """Whether a pattern occurs; its plain alternatives are looked up as text."""
+    parts = pattern.split("|")
+    if not all(part and part.replace("_", "a").isalnum() for part in parts):
+        return title.rlike(pattern)
+    return reduce(Column.__or__, [title.contains(part) for part in parts])
+
+
 def keyword_label(
     title: Column, rules: Sequence[tuple[int, str]] = HEADLINE_KEYWORDS, default: int = 0
 ) -> Column:
     """The label of the last rule whose pattern occurs anywhere in the title."""
     label = None
     for value, pattern in reversed(rules):
-        hit = title.rlike(pattern)
+        hit = _occurs(title, pattern)
         label = F.when(hit, value) if label is None else label.when(hit, value)
     return F.lit(default) if label is None else label.otherwise(default)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions.clock import as_of_column
 from presslake.functions.keys import raw_key
-from presslake.functions.outcomes import FETCHED, outcome_message
+from presslake.functions.outcomes import FETCHED, OTHER_ERROR, outcome_message
 
 
 def landed_pages(fetches: DataFrame, as_of=None) -> DataFrame:
@@ -33,6 +33,14 @@ def fetch_outcomes(fetches: DataFrame, *keep: str, as_of=None) -> DataFrame:
     return fetches.select(*keep, "source", message.alias("message"))
 
 
+def landing_outcomes(fetches: DataFrame, written: DataFrame) -> DataFrame:
+    """Fetches with the fate of their pages: one that could not be written has
+    failed too. ``written`` is what writing the page files returned."""
+    failed = fetches.filter(F.col("outcome") != FETCHED).select("source", "outcome", "error")
+    outcome = F.when(F.col("error").isNull(), FETCHED).otherwise(OTHER_ERROR)
+    return failed.unionByName(written.select("source", outcome.alias("outcome"), "error"))
+
+
 def outcome_summary(
     outcomes: DataFrame, order: str | Column, batch: Sequence[str] = ()
 ) -> DataFrame:

@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", name: str = "presslake") -> SparkSessi
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", partitions)
+        # Listing many files takes a task per core, not a task per file.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", partitions)
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

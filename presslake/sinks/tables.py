@@ -84,32 +84,40 @@ def land_pages(pages: DataFrame, path: str) -> None:
 def write_page_files(pages: DataFrame, root: str) -> DataFrame:
     """Write each page as its own object at its key below ``root``.
 
-    Tasks write directly, each object whole; a retried task writes the same
-    objects again. Returns one row per object once all are written.
+    ``pages`` has ``source``, ``key`` and ``html``. Tasks write directly, each
+    object whole; a retried task writes the same objects again. The objects are
+    written when the result is, a row each; ``error`` tells of a failed one.
     """
-    scheme_fixed = root.rstrip("/").replace("s3a://", "s3://")
+    target = root.rstrip("/").replace("s3a://", "s3://")
+
+    def put(store, path: str, data: bytes) -> str | None:
+        try:
+            store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(path) as stream:
+                stream.write(data)
+        except OSError as error:
+            return str(error)
+        return None
 
     def write(batches):
         from pyarrow import fs
 
-        if "://" in scheme_fixed or scheme_fixed.startswith("file:"):
-            store, base = fs.FileSystem.from_uri(scheme_fixed)
+        if "://" in target or target.startswith("file:"):
+            store, base = fs.FileSystem.from_uri(target)
         else:
-            store, base = fs.LocalFileSystem(), scheme_fixed
+            store, base = fs.LocalFileSystem(), target
         for batch in batches:
-            keys, bodies = batch.column("key").to_pylist(), batch.column("html").to_pylist()
-            sizes = []
-            for key, body in zip(keys, bodies):
-                data = body.encode("utf-8")
-                store.create_dir(f"{base}/{key}".rsplit("/", 1)[0], recursive=True)
-                with store.open_output_stream(f"{base}/{key}") as stream:
-                    stream.write(data)
-                sizes.append(len(data))
+            keys = batch.column("key").to_pylist()
+            bodies = [body.encode("utf-8") for body in batch.column("html").to_pylist()]
+            errors = [put(store, f"{base}/{key}", body) for key, body in zip(keys, bodies)]
+            sizes = pa.array([len(body) for body in bodies], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array(sizes, pa.int64())], ["key", "n_bytes"]
+                [batch.column("source"), batch.column("key"), sizes, pa.array(errors, pa.string())],
+                ["source", "key", "n_bytes", "error"],
             )
 
-    return pages.select("key", "html").mapInArrow(write, "key string, n_bytes bigint")
+    schema = "source string, key string, n_bytes bigint, error string"
+    return pages.select("source", "key", "html").mapInArrow(write, schema)
 
 
 def stream_csv(

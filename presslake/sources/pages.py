@@ -87,6 +87,9 @@ def page_events(events: DataFrame, body: str = "body") -> DataFrame:
 
 
 def pages_of_events(events: DataFrame, pages: DataFrame, body: str = "body") -> DataFrame:
-    """The landed pages that notifications name, each once."""
-    keys = page_events(events, body).select("key")
+    """The landed pages that notifications name, each once.
+
+    Repeated notifications of one page are reduced before the join.
+    """
+    keys = page_events(events, body).select("key").distinct()
     return pages.join(keys, "key", "left_semi")

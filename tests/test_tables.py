@@ -8,6 +8,7 @@ from presslake.functions.keys import FINAL_PREFIX
 from presslake.operators.catalog import list_partitions, refresh_partitions, register_final
 from presslake.operators.rules import BLOCK_CARDS, STORY_CARDS
 from presslake.plans.headlines import publish_final, publish_processed
+from presslake.plans.landing import land_fetches
 from presslake.sinks import tables as sinks
 from presslake.sources.pages import scan_pages
 from presslake.sources.tables import (
@@ -163,14 +164,38 @@ def test_landing_a_day_again_replaces_it(spark, tmp_path):
 
 @pytest.mark.parametrize("scheme", ["", "file://"])
 def test_page_files(spark, tmp_path, scheme):
-    pages = spark.createDataFrame([("headlines/raw/s/a b.html", "ñ\n"), ("headlines/raw/c.html", "x")], "key string, html string")
-    written = {row.key: row.n_bytes for row in sinks.write_page_files(pages, scheme + str(tmp_path)).collect()}
-    assert written == {"headlines/raw/s/a b.html": 3, "headlines/raw/c.html": 1}
+    pages = spark.createDataFrame(
+        [("s", "headlines/raw/s/a b.html", "ñ\n"), ("c", "headlines/raw/c.html", "x")],
+        "source string, key string, html string",
+    )
+    written = sinks.write_page_files(pages, scheme + str(tmp_path)).collect()
+    assert sorted(map(tuple, written)) == [
+        ("c", "headlines/raw/c.html", 1, None), ("s", "headlines/raw/s/a b.html", 3, None),
+    ]
     assert sorted(tuple(row)[:2] for row in scan_pages(spark, str(tmp_path)).collect()) == [
         ("headlines/raw/c.html", "x"), ("headlines/raw/s/a b.html", "ñ\n"),
     ]
 
 
+def test_landing_isolates_failures(spark, tmp_path):
+    """A failed fetch and a failed write leave a message; the third source lands."""
+    write_file(tmp_path, "headlines/raw/blocked", "a file where a folder should go")
+    fetches = spark.createDataFrame(
+        [("eltiempo", "http_error", "500 Server Error", None), ("blocked", "ok", None, "<p>b</p>"),
+         ("elespectador", "ok", None, "<h2>News</h2>")],
+        "source string, outcome string, error string, html string",
+    )
+    messages = {row.source: row.message for row in land_fetches(fetches, str(tmp_path), AS_OF).collect()}
+    key = "headlines/raw/elespectador/2025-06-01/elespectador_2025-06-01.html"
+    assert messages["eltiempo"] == "Error al descargar de eltiempo: 500 Server Error"
+    assert messages["elespectador"] == f"Successfully uploaded elespectador to {key}"
+    assert messages["blocked"].startswith("Error inesperado al procesar blocked: ")
+    assert [tuple(row)[:2] for row in scan_pages(spark, str(tmp_path)).collect()] == [(key, "<h2>News</h2>")]
+    again = spark.createDataFrame([("elespectador", "ok", None, "later")], fetches.schema)
+    land_fetches(again, str(tmp_path), AS_OF).collect()
+    assert [row.html for row in scan_pages(spark, str(tmp_path)).collect()] == ["later"]
+
+
 CARD = '<article class="story-card"><h2 class="title">{0}</h2><a class="title" href="/{0}">x</a></article>'
 
 
