@@ -24,6 +24,7 @@ from presslake.operators.extract import (
 )
 from presslake.operators.rules import BLOCK_CARDS, DAILY_SOURCES, RuleSet
 from presslake.schemas import FINAL_PARTITIONS
+from presslake.session import materialize
 from presslake.sinks.tables import write_final, write_processed
 from presslake.sources.pages import scan_pages
 
@@ -56,7 +57,14 @@ def placed_headlines(
 
 
 class Published(NamedTuple):
+    """Where the table lies, and how the pages fared.
+
+    ``files`` has a row per page of a known source: its headlines counted, or
+    the error that kept it out.
+    """
+
     location: str
+    files: DataFrame
     unknown_sources: DataFrame
 
 
@@ -68,21 +76,35 @@ def publish_final(
     on_collision: str = KEEP_ALL,
     table: str | None = None,
     mode: str = PERMISSIVE,
+    pages: DataFrame | None = None,
 ) -> Published:
-    """Read every raw page below ``root``, write the final table, catalogue it."""
-    pages = scan_pages(spark, root, mode=mode)
+    """Read every raw page below ``root``, or ``pages`` landed elsewhere, write
+    the final table, catalogue it.
+
+    Reading the pages is the costly step, so what was read is stored, a small
+    part of the pages' size, and both results come from there.
+    """
+    pages = scan_pages(spark, root, mode=mode) if pages is None else pages
     location = f"{root.rstrip('/')}/{FINAL_PREFIX}"
-    rows = placed_headlines(partitioned_files(pages, rules, mode), as_of, on_collision)
-    write_final(rows, location)
+    files = materialize(partitioned_files(pages, rules, mode), "parsed")
+    write_final(placed_headlines(files, as_of, on_collision), location)
     if table is not None:
         register_final(spark, table, location)
-    return Published(location, unknown_sources(with_source(pages).drop("html"), rules))
+    fared = files.select("key", "source", headline_count().alias("n_headlines"), "error")
+    unknown = unknown_sources(with_source(pages).select("key", "source"), rules)
+    return Published(location, fared, unknown)
 
 
 def publish_processed(
-    spark: SparkSession, root: str, rules: RuleSet = BLOCK_CARDS, mode: str = PERMISSIVE
+    spark: SparkSession,
+    root: str,
+    rules: RuleSet = BLOCK_CARDS,
+    mode: str = PERMISSIVE,
+    pages: DataFrame | None = None,
 ) -> str:
-    """Read every raw page below ``root`` by one rule set, write the processed CSV."""
+    """Read every raw page below ``root``, or ``pages``, by one rule set; write the
+    processed CSV."""
+    pages = scan_pages(spark, root, mode=mode) if pages is None else pages
     location = f"{root.rstrip('/')}/{PROCESSED_PREFIX}"
-    write_processed(extract_headlines(scan_pages(spark, root, mode=mode), rules, mode), location)
+    write_processed(extract_headlines(pages, rules, mode), location)
     return location

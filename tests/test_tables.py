@@ -224,6 +224,35 @@ def test_publish_final(spark, tmp_path):
     assert days["e"] == ("eltiempo", "2025", "06", "01")
     assert {row.fecha_extraccion for row in rows} == {AS_OF}
     assert [row.key for row in published.unknown_sources.collect()] == ["headlines/raw/otro/2025-05-26/f.html"]
+    fared = {row.key.split("/")[-1]: (row.n_headlines, row.error) for row in published.files.collect()}
+    assert fared == {
+        "a.html": (1, None), "b.html": (1, None), "c.html": (0, None), "e.html": (1, None),
+        "d.html": (1, "date folder has more than three parts"), "g.html": (0, "not valid UTF-8"),
+    }
+
+
+def test_publish_nothing(spark, tmp_path):
+    published = publish_final(spark, str(tmp_path), as_of=AS_OF)
+    assert published.files.isEmpty()
+
+
+@pytest.mark.parametrize("source, empty", [("otro", 0), ("eltiempo", 2)])
+def test_publish_pages_without_headlines(spark, tmp_path, source, empty):
+    for name in "ab":
+        write_file(tmp_path, f"headlines/raw/{source}/2025-05-26/{name}.html", "<p>nada</p>")
+    for collision in ("keep_all", "last"):
+        published = publish_final(spark, str(tmp_path), as_of=AS_OF, on_collision=collision)
+        assert [row.n_headlines for row in published.files.collect()] == [0] * empty
+
+
+def test_publish_from_landed_tables(spark, tmp_path):
+    landed = str(tmp_path / "landed")
+    key = "headlines/raw/eltiempo/2025-05-26/a.html"
+    schema = "key string, html string, source string, date string"
+    sinks.land_pages(spark.createDataFrame([(key, CARD.format("a"), "eltiempo", "2025-05-26")], schema), landed)
+    pages = scan_landed(spark, landed).select("key", "html")
+    published = publish_final(spark, str(tmp_path), as_of=AS_OF, pages=pages)
+    assert final_titles(spark, published.location) == ["a"]
 
 
 def test_publish_final_keeps_the_last_writer(spark, tmp_path):
