@@ -19,11 +19,12 @@ CSV_DIALECT = {
 FINAL_DIALECT = {**CSV_DIALECT, "sep": ";"}
 # Multi-line CSV files cannot be split on read, so keep them moderate.
 ROWS_PER_FILE = 1_000_000
+OBJECT_STORES = ("s3", "gcs", "abfs")  # they have no folders to make
 
 
 def _gathered(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows of a partition together, but a partition of any size in as many
-    tasks as it needs: rebalancing splits large ones and joins small ones."""
+    """Rows of a partition together (any rows, if no columns are named), but in
+    as many tasks as they need: rebalancing splits large shares, joins small ones."""
     return df.hint("rebalance", *columns)
 
 
@@ -47,7 +48,7 @@ def write_final(headlines: DataFrame, path: str, rows_per_file: int = ROWS_PER_F
 def write_processed(headlines: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Processed headlines: ``,`` CSV files directly under ``path``."""
     (
-        headlines.select(PROCESSED_HEADLINE.names)
+        _gathered(headlines.select(PROCESSED_HEADLINE.names))
         .write.mode("overwrite")
         .option("maxRecordsPerFile", rows_per_file)
         .options(**CSV_DIALECT)
@@ -70,10 +71,15 @@ def write_report(lines: DataFrame, path: str, job_name: str) -> str:
     return target
 
 
-def land_pages(pages: DataFrame, path: str) -> None:
-    """Pages as a table by source and date; a rerun replaces that source's day."""
+def land_pages(pages: DataFrame, path: str, gather: bool = True) -> None:
+    """Pages as a table by source and date; a rerun replaces that source's day.
+
+    Gathering shuffles the pages, for few large files. Without it every task
+    writes what it holds, which is as good when a run has few sources and days.
+    """
+    rows = pages.select("key", "html", "source", "date")
     (
-        _gathered(pages.select("key", "html", "source", "date"), "source", "date")
+        (_gathered(rows, "source", "date") if gather else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source", "date")
@@ -90,9 +96,12 @@ def write_page_files(pages: DataFrame, root: str) -> DataFrame:
     """
     target = root.rstrip("/").replace("s3a://", "s3://")
 
-    def put(store, path: str, data: bytes) -> str | None:
+    def put(store, folders: set[str], path: str, data: bytes) -> str | None:
+        folder = path.rsplit("/", 1)[0]
         try:
-            store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            if folder not in folders and store.type_name not in OBJECT_STORES:
+                store.create_dir(folder, recursive=True)
+                folders.add(folder)
             with store.open_output_stream(path) as stream:
                 stream.write(data)
         except OSError as error:
@@ -106,10 +115,11 @@ def write_page_files(pages: DataFrame, root: str) -> DataFrame:
             store, base = fs.FileSystem.from_uri(target)
         else:
             store, base = fs.LocalFileSystem(), target
+        folders: set[str] = set()
         for batch in batches:
             keys = batch.column("key").to_pylist()
             bodies = [body.encode("utf-8") for body in batch.column("html").to_pylist()]
-            errors = [put(store, f"{base}/{key}", body) for key, body in zip(keys, bodies)]
+            errors = [put(store, folders, f"{base}/{key}", body) for key, body in zip(keys, bodies)]
             sizes = pa.array([len(body) for body in bodies], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("source"), batch.column("key"), sizes, pa.array(errors, pa.string())],
@@ -123,9 +133,12 @@ def write_page_files(pages: DataFrame, root: str) -> DataFrame:
 def stream_csv(
     headlines: DataFrame, path: str, checkpoint: str, dialect: dict, partitions: tuple[str, ...] = ()
 ) -> DataStreamWriter:
-    """A streaming CSV sink; its checkpoint makes redelivered files count once."""
+    """A streaming CSV sink; its checkpoint makes redelivered files count once.
+
+    Small pages make many small tasks; their rows are gathered into few files.
+    """
     writer = (
-        headlines.writeStream.format("csv")
+        _gathered(headlines, *partitions).writeStream.format("csv")
         .outputMode("append")
         .options(**dialect)
         .option("path", path)
