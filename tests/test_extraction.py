@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,20 +132,33 @@ def test_a_page_that_cannot_be_read(spark, monkeypatch):
 
     monkeypatch.setattr(extract, "read_items", broken)
     pages = spark.createDataFrame([("a", "bad"), ("b", "fine")], "key string, html string")
-    # The reader is shipped by value, so that workers see the stand-in.
-    import sys
-
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules[extract.__name__])
-    try:
-        parsed = {row.key: row.error for row in parse_pages(pages, R.BLOCK_CARDS).collect()}
-        assert parsed == {"a": "ValueError: no good", "b": None}
-        assert [row.key for row in extract_headlines(pages, R.BLOCK_CARDS).collect()] == ["b"]
-        with pytest.raises(Exception, match="no good"):
-            extract_headlines(pages, R.BLOCK_CARDS, mode="FAILFAST").collect()
-    finally:
-        cloudpickle.unregister_pickle_by_value(sys.modules[extract.__name__])
+    parsed = {row.key: row.error for row in parse_pages(pages, R.BLOCK_CARDS).collect()}
+    assert parsed == {"a": "ValueError: no good", "b": None}
+    assert [row.key for row in extract_headlines(pages, R.BLOCK_CARDS).collect()] == ["b"]
+    with pytest.raises(Exception, match="no good"):
+        extract_headlines(pages, R.BLOCK_CARDS, mode="FAILFAST").collect()
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """Run from another folder, where Python workers cannot import this package."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from presslake.operators.extract import extract_headlines
+from presslake.operators.rules import BLOCK_CARDS
+from presslake.session import local_session
+spark = local_session(1)
+pages = spark.createDataFrame([({CARDS!r},)], "html string")
+print("found", extract_headlines(pages, BLOCK_CARDS).count())
+spark.stop()
+"""
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True,
+        timeout=300,
+    )
+    assert "found 2" in done.stdout, done.stderr[-2000:]
 
 
 @pytest.mark.parametrize(
