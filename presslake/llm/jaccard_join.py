@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.llm.components import connected_components
+from presslake.llm.counters import summed_table
 from presslake.llm.words import blocks, shingle_hashes, word_hashes
 from presslake.session import materialize
 
 ORDER_BITS = 22  # counters that tell rare from frequent tokens; only the order depends on them
-SLICE_BITS = 14
 LEVELS = 4  # most matches a prefix may ask for
 VERIFY_COST = 40  # a verified candidate costs as much as reading so many postings
 FOLLOWERS = 400  # texts compared with one text in a group of a verifying task
@@ -45,47 +45,19 @@ def distinct_shingles(texts: pa.Array, size: int):
 
 
 def frequency_classes(documents: DataFrame, text_col: str, size: int) -> np.ndarray:
-    """Per hashed counter the logarithm of its count over all documents.
+    """Per hashed counter the logarithm of its count over all documents, a byte each.
 
-    Every task counts its documents' shingles in a table of fixed size; the
-    tables' slices are added up in tasks again, and 2**ORDER_BITS bytes come
-    back. Counters that several shingles share only blur the order.
+    Counters that several shingles share only blur the order.
     """
-    width, slices = 1 << ORDER_BITS, 1 << (ORDER_BITS - SLICE_BITS)
-    codec = "zstd"
-
-    def count(batches):
-        table = np.zeros(width, np.int32)
-        for block in blocks(batches, text_col):
-            own = np.concatenate([np.empty(0, np.uint64), *distinct_shingles(block.column(text_col), size)])
-            place = (own >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
-            np.add.at(table, place, 1)
-        parts = [(i, part) for i, part in enumerate(table.reshape(slices, -1)) if part.any()]
-        for i, part in parts:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i], pa.int32()), pa.array([pa.compress(part.tobytes(), codec, asbytes=True)], pa.binary())],
-                ["slice", "counts"],
-            )
 
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        size = 4 << SLICE_BITS
-        for batch in batches:
-            for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(pa.decompress(data, size, codec, asbytes=True), np.int32)
-                sums[i] = sums.get(i, 0) + part.astype(np.int64)
-        for i, part in sums.items():
-            classes = np.ceil(2 * np.log2(np.maximum(part, 1))).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i], pa.int32()), pa.array([classes.tobytes()], pa.binary())], ["slice", "counts"]
-            )
+    def entries(block):
+        own = [np.empty(0, np.uint64), *distinct_shingles(block.column(text_col), size)]
+        return (np.concatenate(own) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1
+
+    def classes(sums):
+        return np.ceil(2 * np.log2(np.maximum(sums, 1))).astype(np.uint8)
 
-    schema = "slice int, counts binary"
-    counted = documents.select(text_col).mapInArrow(count, schema).repartition("slice")
-    table = np.zeros((slices, 1 << SLICE_BITS), np.uint8)
-    for i, data in counted.mapInArrow(add, schema).collect():  # 2**ORDER_BITS bytes at most
-        table[i] = np.frombuffer(data, np.uint8)
-    return table.ravel()
+    return summed_table(documents, text_col, 1 << ORDER_BITS, entries, classes)
 
 
 def prefix_length(n: int, share: Fraction, level: int) -> int:

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from presslake.llm import (
     jaccard_join,
+    langid_crf,
     license_digests,
+    retrieval_packing,
     robust_outliers,
+    soft_mixing,
     toxicity,
     url_filter,
     vector_pairs,
@@ -79,7 +82,8 @@ def op4_weighted_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return robust_outliers.judge_quality(table(spark, sf_dir, "documents"))
+    judged = robust_outliers.judge_quality(table(spark, sf_dir, "documents"))
+    return judged.drop("lang", "source", "text_key")
 
 
 @_query
@@ -101,3 +105,53 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(documents.select("doc_id", "text"), labels, usable=~held_out)
     scored = toxicity.score(documents.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@_query
+def op1_langid_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = langid_crf.train(documents, usable=~held_out)
+    labelled = langid_crf.label_languages(documents.drop("lang"), model)
+    return labelled.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
+    )
+
+
+DOMAIN_WEIGHTS = {"clean": 0.95, "low": 0.04, "toxic": 0.01}
+
+
+def labelled_domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) by the labels of quality and toxicity."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low")
+    known = labels.dropna(subset=["toxic", "quality"])
+    return known.select("doc_id", domain.otherwise("clean").alias("domain"))
+
+
+@_query
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = soft_mixing.train(documents, labelled_domains(table(spark, sf_dir, "labels")))
+    weights = {d: w for d, w in DOMAIN_WEIGHTS.items() if d in model.domains}
+    mixed = soft_mixing.mix_documents(documents, soft_mixing.plan_mix(documents, model, weights))
+    shares = [F.col("shares")[i].alias(f"share_{d}") for i, d in enumerate(model.domains)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    """Documents packed with the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return retrieval_packing.pack_documents(
+        documents,
+        ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        json_path=public_tokenizers.path("byte_bpe_50k.json"),
+        pattern=public_tokenizers.PATTERN,
+    )
+
+
+@_query
+def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )

@@ -309,7 +309,8 @@ def judge_quality(
     cutoff: float = CUTOFF,
 ) -> DataFrame:
     """One row per document: id, base statistics, ``base_failed``, ``kept``,
-    ``distance`` (squared, robust).
+    ``distance`` (squared, robust), and ``lang``, ``source`` and ``text_key`` (a
+    hash of the text), by which rows can be told.
 
     A row is kept unless the base rule fails or its squared distance exceeds
     ``cutoff``. Estimates are made from the rows that pass the base rule; a null
@@ -321,11 +322,11 @@ def judge_quality(
     n = len(STATISTICS)
     measured = documents.select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
-        text_statistics(F.col(text_col)).alias("stats"),
+        F.xxhash64(F.col(text_col)).alias("text_key"), text_statistics(F.col(text_col)).alias("stats"),
     )
     table = materialize(
         measured.select(
-            "id", "lang", "source", "stats.*", base_failed().alias("base_failed"),
+            "id", "lang", "source", "text_key", "stats.*", base_failed().alias("base_failed"),
             *[value.alias(f"x{i}") for i, value in enumerate(transformed(F.col("stats")))],
         ),
         "statistics",
@@ -333,7 +334,7 @@ def judge_quality(
     good = table.filter("NOT base_failed")
     rows, n_groups = _grouped(good)
     groups = estimate(rows, n, n_groups)
-    columns = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    columns = ["id", "lang", "source", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = _attach(rows, _named(groups), n_groups).select(
         *columns, (_squared_distance(n) <= F.lit(cutoff)).alias("kept"), _squared_distance(n).alias("distance")
     )

@@ -160,10 +160,10 @@ def score(documents: DataFrame, model: Model, text_col: str = "text") -> DataFra
         [documents.schema[name] for name in kept]
         + [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
     )
-    carried = documents.sparkSession.sparkContext.broadcast(model)
+    carried = documents.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches):
-        own, distinct = carried.value, Distinct()
+        own, distinct = Model(*carried.value), Distinct()
         for block in blocks(batches, text_col):
             scores = score_texts(block.column(text_col), own, distinct)
             columns = [block.column(name) for name in kept]
