@@ -10,6 +10,7 @@ from presslake.llm import (
     jaccard_join,
     langid_crf,
     license_digests,
+    oracles,
     retrieval_packing,
     robust_outliers,
     soft_mixing,
@@ -44,32 +45,6 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
-ORACLES["op2_url_filter"] = r"""
-WITH rules(verdict, host, path) AS (
-    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
-           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
-), cut AS (
-    SELECT page_id, url,
-           CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest
-    FROM pages
-), parts AS (
-    SELECT page_id, url,
-           coalesce(translate(regexp_extract(rest, '^[^/?#]*'),
-                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-           coalesce(regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*'), '')
-               AS path
-    FROM cut
-)
-SELECT page_id, p.host, p.path,
-       arg_max(r.host || r.path, (length(r.host || r.path), length(r.host))) AS rule,
-       coalesce(arg_max(r.verdict, (length(r.host || r.path), length(r.host))), 'allow') AS verdict
-FROM (SELECT *, row_number() OVER () AS n FROM parts) p
-LEFT JOIN rules r
-  ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
-GROUP BY n, page_id, p.host, p.path
-"""
-
-
 @_query
 def op3_vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_pairs.link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
@@ -83,7 +58,7 @@ def op4_weighted_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = robust_outliers.judge_quality(table(spark, sf_dir, "documents"))
-    return judged.drop("lang", "source", "text_key")
+    return judged.drop("lang", "source", "text_key", "distance")
 
 
 @_query
@@ -155,3 +130,17 @@ def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+ORACLES["op2_url_filter"] = oracles.URL_FILTER
+ORACLES["op3_vector_pairs"] = oracles.VECTOR_PAIRS
+ORACLES["op5_robust_outliers"] = oracles.robust_outliers(
+    robust_outliers.SCALE, robust_outliers.LEAST_SPREAD,
+    robust_outliers.INFLATION[len(robust_outliers.STATISTICS)], robust_outliers.KEPT_SHARE,
+    robust_outliers.STEPS, robust_outliers.STEP_BITS, robust_outliers.LEAST_GROUP, robust_outliers.CUTOFF,
+    robust_outliers.LEAST_WORDS, robust_outliers.MOST_REPEATED,
+)
+ORACLES["op6_license_digests"] = oracles.license_digests(
+    license_digests.KNOWN_LICENCES, license_digests.EQUIVALENT_WORDS, license_digests.COPYRIGHT_LINE
+)
+ORACLES["op7_jaccard_join"] = oracles.JACCARD_JOIN

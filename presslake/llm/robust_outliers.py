@@ -61,8 +61,9 @@ def repeated_words(words: Column) -> Column:
     """
 
     def covered(positions: Column) -> Column:
-        following = F.concat(F.slice(positions, 2, F.size(positions)), F.array(F.lit(2**30)))
-        steps = F.zip_with(positions, following, lambda a, b: F.least(b - a, F.lit(3)))
+        steps = F.transform(
+            positions, lambda a, i: F.least(F.get(positions, i + 1) - a, F.lit(3))
+        )  # the last has no successor, and the least of null and 3 is 3
         return F.aggregate(steps, F.lit(0).cast("bigint"), lambda total, n: total + n)
 
     def twice(windows: Column) -> Column:
