@@ -8,10 +8,11 @@ its estimated cost is least: the postings it reads, and the candidates it has
 to have verified, of which there are fewer the more matches are asked for.
 
 Equal sets are one class. Before candidates are formed, every class is compared
-with the one class it shares most rare tokens with; what that links falls into
-components, and candidates are then only sought between different components.
-So large groups of near copies are never expanded into pairs, and no link
-between components is lost.
+with one class that shares rare tokens with it and most with others; what that
+links falls into components, and candidates are then only sought between
+different components. A pair must also have sketches of the whole sets that can
+differ by no more than the sets may. So large groups of near copies are not
+expanded into pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -33,9 +34,13 @@ ORDER_BITS = 22  # counters that tell rare from frequent tokens; only the order
 LEVELS = 4  # most matches a prefix may ask for
 VERIFY_COST = 40  # a verified candidate costs as much as reading so many postings
 FOLLOWERS = 400  # texts compared with one text in a group of a verifying task
+SKETCH_WORDS = 8  # 64-bit words of a class's sketch
 BROADCAST_KEYS = 1_000_000  # 8-byte keys that may be broadcast
 
 
+_SKETCH = [f"sketch{w}" for w in range(SKETCH_WORDS)]
+
+
 def distinct_shingles(texts: pa.Array, size: int):
     """The sorted distinct shingle hashes of each text."""
     words, rows = word_hashes(texts)
@@ -66,6 +71,17 @@ def prefix_length(n: int, share: Fraction, level: int) -> int:
     return min(n, n - least + level)
 
 
+def odd_sketch(tokens: np.ndarray) -> np.ndarray:
+    """For each of some bits, whether an odd number of the set's tokens fall on it.
+
+    A token that only one of two sets has changes one bit, so sketches differ in
+    no more bits than their sets in tokens.
+    """
+    place = (tokens & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _digest(tokens: np.ndarray) -> tuple[int, int]:
     data = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
     return int.from_bytes(data[:8], "little", signed=True), int.from_bytes(data[8:], "little", signed=True)
@@ -73,13 +89,13 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
 
 def sketches(documents: DataFrame, size: int, share: Fraction, order: np.ndarray) -> DataFrame:
     """A row per document of ``id``, ``text`` and ``text_key``: digest of its set,
-    the set's size and its prefix, rare tokens first."""
+    the set's size, its odd sketch and its prefix, rare tokens first."""
     carried = documents.sparkSession.sparkContext.broadcast(order)
 
     def run(batches):
         classes = carried.value
         for block in blocks(batches, "text"):
-            k1, k2, sizes, prefixes = [], [], [], []
+            k1, k2, sizes, prefixes, marks = [], [], [], [], []
             for tokens in distinct_shingles(block.column("text"), size):
                 n = len(tokens)
                 a, b = _digest(tokens)
@@ -91,20 +107,25 @@ def sketches(documents: DataFrame, size: int, share: Fraction, order: np.ndarray
                 k1.append(a)
                 k2.append(b)
                 sizes.append(n)
+                marks.append(odd_sketch(tokens))
                 prefixes.append(np.sort(ranked).astype(np.int64))
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate([np.empty(0, np.int64), *prefixes])
+            sketch = np.concatenate([np.empty(0, np.int64), *marks]).reshape(-1, SKETCH_WORDS)
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("id"), block.column("text_key"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
                     pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    *[pa.array(np.ascontiguousarray(sketch[:, w])) for w in range(SKETCH_WORDS)],
                 ],
-                ["id", "text_key", "k1", "k2", "n", "prefix"],
+                ["id", "text_key", "k1", "k2", "n", "prefix", *_SKETCH],
             )
 
     kind = documents.schema["id"].dataType.simpleString()
     return documents.mapInArrow(
-        run, f"id {kind}, text_key bigint, k1 bigint, k2 bigint, n bigint, prefix array<bigint>"
+        run,
+        f"id {kind}, text_key bigint, k1 bigint, k2 bigint, n bigint, prefix array<bigint>, "
+        + ", ".join(f"{w} bigint" for w in _SKETCH),
     )
 
 
@@ -192,7 +213,7 @@ def link_documents(
     worded = table.filter("n > 0")
     classes = worded.groupBy("k1", "k2").agg(
         F.min("id").alias("least"), F.min("text_key").alias("text_key"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"),
+        F.first("prefix").alias("prefix"), *[F.first(w).alias(w) for w in _SKETCH],
     )
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     links = _links(rows.filter("text IS NOT NULL"), classes, size, share)
@@ -218,22 +239,13 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, share: Fraction) ->
     top, bottom = F.lit(share.numerator), F.lit(share.denominator)
     least = F.ceil(F.col("n") * top / bottom)  # tokens a partner must share
     tokens = classes.select("node", "n", F.posexplode("prefix").alias("i", "token"))
-    counts = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("node").alias("head"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     level = F.greatest(F.lit(1), F.col("i") - (F.col("n") - least).cast("int") + 1)
     postings = materialize(
-        tokens.join(counts.filter("df > 1"), "token").select(
-            "token", "node", "n", "i", level.cast("int").alias("level"), "df", "head"
-        ),
+        tokens.join(counts, "token").select("token", "node", "n", "i", level.cast("int").alias("level"), "df"),
         "postings",
     )
-    # First each class with the one it shares most rare tokens with.
-    heads = postings.filter("node <> head").groupBy("node", "n", "head").agg(F.count("*").alias("c"))
-    best = (
-        heads.filter((F.lit(3) * F.col("c")) >= F.col("n") - F.ceil(F.col("n") * top / bottom) + 1)
-        .groupBy("node")
-        .agg(F.max_by("head", F.struct("c", "head")).alias("head"))
-    )
-    first = materialize(best.select(F.col("head").alias("a"), F.col("node").alias("b")), "pairs")
+    first = materialize(_heads(postings, classes, least, share), "pairs")
     near = materialize(
         _verified(first, _texts_of(texts, classes, _nodes(first)), size, share), "links"
     )
@@ -245,28 +257,33 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, share: Fraction) ->
     known = materialize(known, "known")
     mixed = known.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = mixed.filter("lo <> hi").select("token")
-    open_ = materialize(known.join(mixed, "token"), "open")
+    marks = classes.select("node", *_SKETCH)
+    open_ = materialize(known.join(mixed, "token").join(marks, "node"), "open")
     levels = _levels(open_, least)
     probes = open_.join(levels, "node").filter("level <= asked").select(
         "token", F.col("node").alias("r"), F.col("n").alias("nr"), F.col("i").alias("ir"),
-        F.col("component").alias("cr"), "asked",
+        F.col("component").alias("cr"), "asked", *[F.col(w).alias(f"{w}r") for w in _SKETCH],
     )
     index = open_.select(
         "token", F.col("node").alias("s"), F.col("n").alias("ns"), F.col("i").alias("js"),
-        F.col("component").alias("cs"), F.col("level").alias("ls"),
+        F.col("component").alias("cs"), F.col("level").alias("ls"), *[F.col(w).alias(f"{w}s") for w in _SKETCH],
     )
     smaller = (F.col("ns") < F.col("nr")) | ((F.col("ns") == F.col("nr")) & (F.col("s") < F.col("r")))
-    large_enough = F.col("ns") * bottom >= F.col("nr") * top
+    able = _can_link(F.col("nr"), F.col("ns"), [(F.col(f"{w}r"), F.col(f"{w}s")) for w in _SKETCH], share)
     # Of a pair that reaches the threshold every shared token fulfils this.
-    reach = F.least("ir", "js") + 1 + F.least(F.col("nr") - F.col("ir"), F.col("ns") - F.col("js")) - 1
-    enough = reach * (top + bottom) >= (F.col("nr") + F.col("ns")) * top
+    reach = F.least("ir", "js") + F.least(F.col("nr") - F.col("ir"), F.col("ns") - F.col("js"))
+    both = (F.col("nr") + F.col("ns")) * top
     met = probes.join(
         index,
         (probes["token"] == index["token"]) & (F.col("ls") <= F.col("asked")) & (F.col("cr") != F.col("cs"))
-        & smaller & large_enough & enough,
+        & smaller & able & (reach * (top + bottom) >= both),
     )
+    # All shared tokens up to the last one met are counted, so only what follows it can add to them.
+    after = F.least(F.col("nr") - 1 - F.col("last_r"), F.col("ns") - 1 - F.col("last_s"))
     pairs = (
-        met.groupBy("r", "s", "asked").agg(F.count("*").alias("c")).filter("c >= asked")
+        met.groupBy("r", "s", "asked", "nr", "ns")
+        .agg(F.count("*").alias("c"), F.max("ir").alias("last_r"), F.max("js").alias("last_s"))
+        .filter((F.col("c") >= F.col("asked")) & ((F.col("c") + after) * (top + bottom) >= both))
         .select(F.col("r").alias("a"), F.col("s").alias("b"))
     )
     second = materialize(pairs, "pairs")
@@ -274,6 +291,41 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, share: Fraction) ->
     return near.unionByName(materialize(far, "links"))
 
 
+def _can_link(n, m, sketches, share: Fraction):
+    """Whether sets of ``n`` and ``m`` tokens with these sketches can reach the threshold."""
+    top, bottom = F.lit(share.numerator), F.lit(share.denominator)
+    large_enough = (F.least(n, m) * bottom) >= (F.greatest(n, m) * top)
+    differ = F.lit(0)
+    for a, b in sketches:
+        differ = differ + F.bit_count(a.bitwiseXOR(b))
+    return large_enough & (differ * (top + bottom) <= (n + m) * (bottom - top))
+
+
+def _heads(postings: DataFrame, classes: DataFrame, least, share: Fraction) -> DataFrame:
+    """(a, b): every class ``b`` with the one ``a`` that heads most of its tokens.
+
+    A token's head is the class whose prefix is shared most, counted by length:
+    among the copies of a text that is the least altered one.
+    """
+    length = F.first(F.col("n") - least + LEVELS)
+    shared = postings.groupBy("node").agg((F.sum("df") / length).alias("shared"))
+    headed = postings.join(shared, "node").groupBy("token").agg(F.max(F.struct("shared", "node")).alias("head"))
+    heads = (
+        postings.join(headed.select("token", F.col("head.node").alias("head")), "token")
+        .filter("node <> head")
+        .groupBy("node", "head")
+        .agg(F.count("*").alias("c"))
+    )
+    best = heads.groupBy("node").agg(F.max(F.struct("c", "head")).alias("best")).select("node", "best.head")
+    own = classes.select("node", F.col("n").alias("nb"), *[F.col(w).alias(f"{w}b") for w in _SKETCH])
+    other = classes.select(F.col("node").alias("head"), F.col("n").alias("na"), *[F.col(w).alias(f"{w}a") for w in _SKETCH])
+    able = _can_link(F.col("na"), F.col("nb"), [(F.col(f"{w}a"), F.col(f"{w}b")) for w in _SKETCH], share)
+    return (
+        best.join(own, "node").join(other, "head").filter(able)
+        .select(F.col("head").alias("a"), F.col("node").alias("b"))
+    )
+
+
 def _nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
 

@@ -367,13 +367,12 @@ def label_languages(documents: DataFrame, model: Model, text_col: str = "text")
     def run(batches):
         own, is_letter = Model(*carried.value), Letters()
         names = np.array([*own.langs, UNKNOWN], dtype=object)
-        for block in blocks(batches, "_text", BLOCK_BYTES):
-            langs, scores, spans = _predicted(block.column("_text").to_pylist(), own, is_letter, names)
+        for block in blocks(batches, text_col, BLOCK_BYTES):
+            langs, scores, spans = _predicted(block.column(text_col).to_pylist(), own, is_letter, names)
             columns = [block.column(name) for name in kept] + [langs, scores, spans]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
-    rows = documents.select(*kept, F.col(text_col).alias("_text"))
-    return rows.mapInArrow(run, schema)
+    return documents.select(*kept, text_col).mapInArrow(run, schema)
 
 
 def _predicted(texts, model: Model, is_letter: Letters, names: np.ndarray):

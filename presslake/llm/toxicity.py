@@ -30,8 +30,8 @@ SMOOTHING = 1.0
 EPOCHS = 6
 PENALTY = 0.002
 BLEND = 0.9
-LEAST_ROWS = 5  # training texts an n-gram must be in
-LEAST_RATIO = 0.3  # absolute log-count ratio below which an n-gram tells nothing
+LEAST_ROWS = 4  # training texts an n-gram must be in
+LEAST_DEVIATIONS = 3.5  # log-count ratio, in standard errors, below which an n-gram tells nothing
 
 _FOLDED = np.where(WHITE, np.uint8(32), LOWER)
 
@@ -92,7 +92,7 @@ def fit(sample: list[Labelled]) -> Model:
     n_rows = np.array([(labels == k).sum() for k in (0, 1)]) + 2 * SMOOTHING
     ratio = np.log(counts[1] / n_rows[1]) - np.log(counts[0] / n_rows[0])
     ratio[counts.sum(axis=0) < 2 * SMOOTHING + LEAST_ROWS] = 0
-    ratio[np.abs(ratio) < LEAST_RATIO] = 0
+    ratio[np.abs(ratio) < LEAST_DEVIATIONS * np.sqrt((1 / counts).sum(axis=0))] = 0
     ratio[0] = 0
     ratio = ratio.astype(np.float32)
     return _logistic(sets, labels, ratio)
@@ -110,12 +110,14 @@ def _logistic(sets, labels, ratio) -> Model:
     bias, bias_spread = 0.0, 1e-2
     order = np.random.Generator(np.random.PCG64(5)).permutation(len(sets))
     used = [own[ratio[own] != 0] for own in sets]
+    # The rarer label weighs more, though not as much as it is rarer.
+    weight = np.sqrt(len(labels) / (2 * np.array([(labels == k).sum() for k in (0, 1)])))
     for _ in range(EPOCHS):
         for i in order:
             own = used[i]
             value = ratio[own]
             z = float(np.dot(weights[own], value)) + bias
-            error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[i]
+            error = weight[int(labels[i])] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[i])
             slope = error * value + PENALTY * weights[own]
             spread[own] += slope * slope
             weights[own] -= 0.1 * slope / np.sqrt(spread[own])
