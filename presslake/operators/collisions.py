@@ -13,13 +13,12 @@ KEEP_ALL, LAST = "keep_all", "last"
 def last_writers(files: DataFrame, as_of=None, key: str = "key") -> DataFrame:
     """Of the files sharing a final key, the one whose raw key is greatest.
 
-    ``max_by`` reduces each task's files to one per final key before the
-    shuffle, so a final key shared by a third of all files costs no more than
-    any other. Files that gave no rows must be filtered out before.
+    Only keys are compared: each task's are reduced to one per final key before
+    the shuffle, so a final key shared by a third of all files costs no more than
+    any other, and the winners' files are joined by their keys. ``files`` is read
+    twice, so pass a stored table. A key must be a file's own. Files that gave no
+    rows must be filtered out before.
     """
     target = final_key(F.col(key), as_of)
-    kept = F.struct(*[F.col(name) for name in files.columns])
-    winners = files.groupBy(target.alias("final_key")).agg(
-        F.max_by(kept, F.col(key)).alias("file")
-    )
-    return winners.select("final_key", "file.*")
+    winners = files.groupBy(target.alias("final_key")).agg(F.max(key).alias("_winner"))
+    return files.join(winners, files[key] == winners["_winner"]).select("final_key", *files.columns)

@@ -110,8 +110,7 @@ def _reader(rules: Mapping[str, RuleSet] | RuleSet, mode: str):
         pages = zip(html.to_pylist(), rule.to_pylist())
         return pa.array([parse(markup, name) for markup, name in pages], type=_PARSED)
 
-    # Keeps filters on the result above the UDF, so that a page is read once.
-    return read_pages.asNondeterministic()
+    return read_pages
 
 
 def fill(value: Column, missing: Column) -> Column:
@@ -167,9 +166,10 @@ def parse_pages(
     """
     kept = [name for name in pages.columns if name not in ("html", "error")]
     earlier = F.col("error") if "error" in pages.columns else F.lit(None).cast("string")
-    parsed = dispatch(pages, rules).withColumn(
-        "_parsed", _reader(rules, mode)(F.col("html"), F.col("rule"))
-    )
+    # As a generator's output the result is computed once, filters on it stay
+    # above, and filters on the columns kept go below the parse.
+    read = F.explode_outer(F.array(_reader(rules, mode)(F.col("html"), F.col("rule"))))
+    parsed = dispatch(pages, rules).select("*", read.alias("_parsed"))
     return parsed.select(
         *kept,
         *RULE_COLUMNS,

@@ -15,9 +15,15 @@ from presslake.functions.outcomes import FETCHED, OTHER_ERROR, outcome_message
 def landed_pages(fetches: DataFrame, as_of=None) -> DataFrame:
     """The pages of the fetches that went well, with key, source and date.
 
-    ``fetches`` has ``source``, ``outcome``, ``error`` and ``html``.
+    ``fetches`` has ``source``, ``outcome``, ``error`` and ``html``. A source has
+    one page a day: of several fetches that went well the one whose page has the
+    greatest MD5 digest stays. Digests are compared, pages are not moved for it.
     """
-    return fetches.filter(F.col("outcome") == FETCHED).select(
+    fetched = fetches.filter((F.col("outcome") == FETCHED) & F.col("html").isNotNull())
+    pages = fetched.select("source", "html", F.md5("html").alias("digest"))
+    chosen = pages.groupBy("source").agg(F.max("digest").alias("digest"))
+    kept = pages.join(chosen, ["source", "digest"], "left_semi").dropDuplicates(["source"])
+    return kept.select(
         raw_key(F.col("source"), as_of).alias("key"),
         "html",
         "source",

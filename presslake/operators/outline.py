@@ -7,6 +7,7 @@ element opened since its start tag; one without a start tag is ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from html import unescape
 from html.entities import html5
@@ -45,6 +46,7 @@ class Outline(HTMLParser):
         self._open_tags: Counter[str] = Counter()
         self._pending: list[str] = []
         self._hidden = 0
+        self._fitting: dict[Step, list[int]] = {}
         self.feed(markup)
         self.close()
         self._end_run()
@@ -110,8 +112,13 @@ class Outline(HTMLParser):
             self._pending.append(data[6:])
             self._end_run()
 
-    def inside(self, element: Element) -> list[Element]:
-        return self.elements[element.index + 1 : element.last]
+    def first_inside(self, element: Element, step: Step) -> Element | None:
+        """The first element inside that fits; a page is searched once for each step."""
+        if step not in self._fitting:
+            self._fitting[step] = [e.index for e in self.elements if fits(e, step)]
+        found = self._fitting[step]
+        at = bisect_right(found, element.index)
+        return self.elements[found[at]] if at < len(found) and found[at] < element.last else None
 
     def text(self, element: Element) -> str:
         return "".join(self.runs[element.first_run : element.last_run])
@@ -137,7 +144,7 @@ def follow(outline: Outline, element: Element, step: Step) -> Element | None:
         while element is not None and not fits(element, step):
             element = element.parent
         return element
-    return next((inner for inner in outline.inside(element) if fits(inner, step)), None)
+    return outline.first_inside(element, step)
 
 
 def read(outline: Outline, element: Element, field: Field | None) -> str | None:

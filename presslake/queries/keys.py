@@ -10,7 +10,7 @@ from presslake.operators.collisions import last_writers
 from presslake.operators.landing import fetch_outcomes, outcome_summary
 from presslake.queries.extraction import AS_OF, domain
 from presslake.queries.registry import query, table
-from presslake.sources.pages import event_objects, page_events, pages_of_events
+from presslake.sources.pages import BAD_EVENT, event_objects, page_events, pages_of_events
 
 
 def _order_keys(spark, sf_dir):
@@ -224,12 +224,14 @@ def fetch_summary(spark, sf_dir):
 
 
 def _events(spark, sf_dir):
-    """A notification per page: its file, under an encoded key, and a stray object."""
+    """A notification per page: its file, under an encoded key, and a stray object.
+    Every fifth page is of another bucket, every eleventh body is cut off."""
 
     def record(key):
+        bucket = F.when(F.col("page_id") % 5 == 0, "other").otherwise("lake")
         return F.struct(
             F.struct(
-                F.struct(F.lit("lake").alias("name")).alias("bucket"),
+                F.struct(bucket.alias("name")).alias("bucket"),
                 F.struct(key.alias("key")).alias("object"),
             ).alias("s3")
         )
@@ -237,29 +239,41 @@ def _events(spark, sf_dir):
     page = F.format_string("headlines/raw/caf%%C3%%A9+%d.html", "page_id")
     stray = F.format_string("headlines/raw/%d.txt", "page_id")
     body = F.to_json(F.struct(F.array(record(page), record(stray)).alias("Records")))
-    return table(spark, sf_dir, "pages").select("page_id", body.alias("body"))
+    cut = F.when(F.col("page_id") % 11 == 0, F.substring(body, 1, 9)).otherwise(body)
+    return table(spark, sf_dir, "pages").select("page_id", cut.alias("body"))
 
 
-@query("""
-SELECT page_id, 'lake' AS bucket, unnest(['headlines/raw/café ' || page_id || '.html',
-                                          'headlines/raw/' || page_id || '.txt']) AS key
-FROM pages
+_BUCKET = "CASE WHEN page_id % 5 = 0 THEN 'other' ELSE 'lake' END"
+_CUT_OFF = f"""
+SELECT page_id, CAST(NULL AS VARCHAR) AS bucket, CAST(NULL AS VARCHAR) AS key, '{BAD_EVENT}' AS error
+FROM pages WHERE page_id % 11 = 0
+"""
+
+
+@query(f"""
+SELECT page_id, {_BUCKET} AS bucket, unnest(['headlines/raw/café ' || page_id || '.html',
+                                             'headlines/raw/' || page_id || '.txt']) AS key, NULL AS error
+FROM pages WHERE page_id % 11 <> 0 UNION ALL {_CUT_OFF}
 """)
 def event_unnest(spark, sf_dir):
     return event_objects(_events(spark, sf_dir))
 
 
-@query("SELECT page_id, 'lake' AS bucket, 'headlines/raw/café ' || page_id || '.html' AS key FROM pages")
+@query(f"""
+SELECT page_id, {_BUCKET} AS bucket, 'headlines/raw/café ' || page_id || '.html' AS key, NULL AS error
+FROM pages WHERE page_id % 11 <> 0 UNION ALL {_CUT_OFF}
+""")
 def event_page_filter(spark, sf_dir):
     return page_events(_events(spark, sf_dir))
 
 
 @query("""
 SELECT 'headlines/raw/café ' || page_id || '.html' AS key, md5(html) AS digest FROM pages
+WHERE page_id % 11 <> 0 AND page_id % 5 <> 0
 """)
 def event_replay(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(
         F.format_string("headlines/raw/café %d.html", "page_id").alias("key"), "html"
     )
-    landed = pages_of_events(_events(spark, sf_dir), pages)
+    landed = pages_of_events(_events(spark, sf_dir), pages, bucket="lake")
     return landed.select("key", F.md5("html").alias("digest"))

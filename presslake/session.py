@@ -43,16 +43,27 @@ def local_session(cores: int | str = "*", name: str = "presslake") -> SparkSessi
     return session
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in this process, so that its disk is theirs."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach, named by ``spark.checkpoint.dir``, or
+    the one given to ``SparkContext.setCheckpointDir``.
 
     Only a local master may fall back to a folder of this machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not is_local(spark):
+        raise RuntimeError(
+            "start the session with spark.checkpoint.dir set to a folder all executors share, "
+            "or give one to sparkContext.setCheckpointDir"
+        )
     return _local_dir(spark.sparkContext.applicationId)
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from presslake.session import is_local
+from presslake.sources.pages import qualified_root
 from presslake.schemas import FINAL_HEADLINE, FINAL_PARTITIONS, PROCESSED_HEADLINE, SCRAPED_HEADLINE
 
 # Minimal quoting with doubled quotes; text is written as it is.
@@ -94,7 +98,9 @@ def write_page_files(pages: DataFrame, root: str) -> DataFrame:
     object whole; a retried task writes the same objects again. The objects are
     written when the result is, a row each; ``error`` tells of a failed one.
     """
-    target = root.rstrip("/").replace("s3a://", "s3://")
+    target = qualified_root(pages.sparkSession, root).replace("s3a://", "s3://")
+    if target.startswith("file:") and not is_local(pages.sparkSession):
+        raise ValueError(f"{target} is a folder of each machine; pages must go to a shared store")
 
     def put(store, folders: set[str], path: str, data: bytes) -> str | None:
         folder = path.rsplit("/", 1)[0]
@@ -111,10 +117,7 @@ def write_page_files(pages: DataFrame, root: str) -> DataFrame:
     def write(batches):
         from pyarrow import fs
 
-        if "://" in target or target.startswith("file:"):
-            store, base = fs.FileSystem.from_uri(target)
-        else:
-            store, base = fs.LocalFileSystem(), target
+        store, base = fs.FileSystem.from_uri(re.sub("^file:/*", "file:///", target))
         folders: set[str] = set()
         for batch in batches:
             keys = batch.column("key").to_pylist()

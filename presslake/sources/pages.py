@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +14,25 @@ from presslake.schemas import BINARY_FILE, OBJECT_CREATED, RAW_PAGE
 PAGE_FILES = "*.html"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 BAD_ENCODING = "not valid UTF-8"
+BAD_EVENT = "not an object notification"
+BAD_RECORD = "names no object"
+
+
+def qualified_root(spark: SparkSession, root: str) -> str:
+    """``root`` as the file system spells it: with scheme, absolute, no ``..``."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(conf).makeQualified(path).toString().rstrip("/")
 
 
 def key_below(path: Column, root: str) -> Column:
-    """A file's path relative to ``root``, whatever scheme either is given in."""
+    """A file's path relative to ``root``, whatever scheme either is given in; a
+    path that is not below it is an error."""
     base = F.regexp_replace(F.lit(root.rstrip("/") + "/"), _SCHEME, "")
     bare = F.regexp_replace(path, _SCHEME, "")
-    return F.substring(bare, F.length(base) + 1, F.length(bare))
+    inside = F.substring(bare, F.length(base) + 1, F.length(bare))
+    outside = F.raise_error(F.concat(path, F.lit(f" is not below {root}")))
+    return F.when(bare.startswith(base), inside).otherwise(outside.cast("string"))
 
 
 def decode_pages(files: DataFrame, root: str, mode: str = PERMISSIVE) -> DataFrame:
@@ -40,8 +53,9 @@ def scan_pages(
     reader = spark.read.format("binaryFile").options(
         recursiveFileLookup=True, pathGlobFilter=PAGE_FILES
     )
+    root = qualified_root(spark, root)
     try:
-        files = reader.load(f"{root.rstrip('/')}/{prefix}")
+        files = reader.load(f"{root}/{prefix}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -57,6 +71,7 @@ def stream_pages(
     max_files_per_trigger: int = 10_000,
 ) -> DataFrame:
     """Page files as they arrive below ``prefix`` of ``root``."""
+    root = qualified_root(spark, root)
     files = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
@@ -65,31 +80,88 @@ def stream_pages(
             pathGlobFilter=PAGE_FILES,
             maxFilesPerTrigger=max_files_per_trigger,
         )
-        .load(f"{root.rstrip('/')}/{prefix}")
+        .load(f"{root}/{prefix}")
     )
     return decode_pages(files.select("path", "content"), root, mode)
 
 
 def event_objects(events: DataFrame, body: str = "body") -> DataFrame:
-    """The objects that JSON object-created notifications tell of, one per row."""
-    parsed = F.from_json(F.col(body), OBJECT_CREATED)
+    """The objects that JSON object-created notifications tell of, one per row.
+
+    A body that is no notification gives one row, and a record without a bucket
+    or key keeps its row, both with an ``error``.
+    """
     kept = [F.col(name) for name in events.columns if name != body]
-    return events.select(*kept, F.explode(parsed["Records"]).alias("record")).select(
-        *kept,
-        F.col("record.s3.bucket.name").alias("bucket"),
-        decode_key(F.col("record.s3.object.key")).alias("key"),
-    )
+    records = F.from_json(F.col(body), OBJECT_CREATED)["Records"]
+    rows = events.select(*kept, records.isNull().alias("bad"), F.explode_outer(records).alias("record"))
+    # A notification with an empty list of records names nothing and is no error.
+    rows = rows.filter("bad OR record IS NOT NULL")
+    bucket, key = F.col("record.s3.bucket.name"), F.col("record.s3.object.key")
+    error = F.when(F.col("bad"), BAD_EVENT).when(bucket.isNull() | key.isNull(), BAD_RECORD)
+    return rows.select(*kept, bucket.alias("bucket"), decode_key(key).alias("key"), error.alias("error"))
 
 
 def page_events(events: DataFrame, body: str = "body") -> DataFrame:
-    """Of those objects, the page files."""
-    return event_objects(events, body).filter(is_page_key(F.col("key")))
+    """Of those objects, the page files, and what could not be read."""
+    return event_objects(events, body).filter(is_page_key(F.col("key")) | F.col("error").isNotNull())
 
 
-def pages_of_events(events: DataFrame, pages: DataFrame, body: str = "body") -> DataFrame:
+def pages_of_events(
+    events: DataFrame, pages: DataFrame, body: str = "body", bucket: str | None = None
+) -> DataFrame:
     """The landed pages that notifications name, each once.
 
-    Repeated notifications of one page are reduced before the join.
+    ``pages`` are of one ``bucket``; notifications of others are not about them.
+    Without a name all notifications count. Repeated ones are reduced before the
+    join; unreadable ones are in ``page_events``.
     """
-    keys = page_events(events, body).select("key").distinct()
-    return pages.join(keys, "key", "left_semi")
+    named = page_events(events, body).filter(F.col("error").isNull())
+    if bucket is not None:
+        named = named.filter(F.col("bucket") == bucket)
+    return pages.join(named.select("key").distinct(), "key", "left_semi")
+
+
+def read_event_pages(
+    events: DataFrame, root_of_bucket: str, body: str = "body", mode: str = PERMISSIVE
+) -> DataFrame:
+    """The pages that notifications name, read object by object: no folder is listed.
+
+    ``root_of_bucket`` holds ``{bucket}`` where the bucket's name goes. Rows have
+    ``bucket``, ``key``, ``html`` and ``error``; an object that cannot be read
+    has an error, as has a notification that names none. Tasks read the objects,
+    so the pages come through no shuffle; only the names do, each once.
+    """
+    named = page_events(events, body).select("bucket", "key", "error").distinct()
+
+    def read(batches):
+        from pyarrow import fs
+
+        stores: dict[str, tuple] = {}
+        for batch in batches:
+            rows = batch.to_pylist()
+            contents, errors = [], []
+            for row in rows:
+                data, error = None, row["error"]
+                if error is None:
+                    root = root_of_bucket.replace("{bucket}", row["bucket"]).rstrip("/")
+                    try:
+                        if root not in stores:
+                            stores[root] = fs.FileSystem.from_uri(root.replace("s3a://", "s3://"))
+                        store, base = stores[root]
+                        with store.open_input_stream(f"{base}/{row['key']}") as stream:
+                            data = stream.read()
+                    except OSError as failure:
+                        error = f"{type(failure).__name__}: {failure}"
+                contents.append(data)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("bucket"), batch.column("key"), pa.array(contents, pa.binary()), pa.array(errors, pa.string())],
+                ["bucket", "key", "content", "error"],
+            )
+
+    files = named.mapInArrow(read, "bucket string, key string, content binary, error string")
+    text = F.col("content").cast("string")
+    html = F.validate_utf8(text) if mode == FAILFAST else F.try_validate_utf8(text)
+    wrong = F.when(F.col("content").isNotNull() & F.col("html").isNull(), F.lit(BAD_ENCODING))
+    pages = files.select("bucket", "key", html.alias("html"), "content", "error")
+    return pages.select("bucket", "key", "html", F.coalesce("error", wrong).alias("error"))

@@ -1,3 +1,4 @@
+import hashlib
 import datetime as dt
 
 import pytest
@@ -143,7 +144,23 @@ def test_events(spark):
         '{"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": "headlines/raw/a+b%C3%A9.html"}}},'
         ' {"s3": {"bucket": {"name": "b"}, "object": {"key": "other/c.html"}}}]}'
     )
-    events = spark.createDataFrame([(body,), ('{"Records": []}',)], "body string")
-    objects = [(row.bucket, row.key) for row in event_objects(events).collect()]
-    assert objects == [("b", "headlines/raw/a bé.html"), ("b", "other/c.html")]
-    assert [row.key for row in page_events(events).collect()] == ["headlines/raw/a bé.html"]
+    bodies = [body, '{"Records": []}', "no json", "{}", '{"Records": [{"s3": {"bucket": {"name": "b"}}}]}', None]
+    events = spark.createDataFrame([(b,) for b in bodies], "body string")
+    page, bad = ("b", "headlines/raw/a bé.html", None), (None, None, "not an object notification")
+    nameless = ("b", None, "names no object")
+    objects = [tuple(row) for row in event_objects(events).collect()]
+    assert objects == [page, ("b", "other/c.html", None), bad, bad, nameless, bad]
+    assert [tuple(row) for row in page_events(events).collect()] == [page, bad, bad, nameless, bad]
+
+
+def test_a_source_lands_one_page_a_day(spark):
+    rows = [("s", FETCHED, None, "a"), ("s", FETCHED, None, "b"), ("s", FETCHED, None, "b"), ("t", FETCHED, None, "c"),
+            ("s", HTTP_ERROR, "500", None)]
+    greatest = max("ab", key=lambda html: hashlib.md5(html.encode()).hexdigest())
+    landed = landed_pages(spark.createDataFrame(rows, FETCHES), AS_OF).collect()
+    assert sorted((row.source, row.html) for row in landed) == [("s", greatest), ("t", "c")]
+
+
+def test_a_path_outside_the_root_is_an_error(spark):
+    with pytest.raises(Exception, match="is not below"):
+        value(spark, key_below, "file:/other/headlines/raw/a.html", "/lake")

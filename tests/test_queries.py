@@ -5,6 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from presslake.queries.registry import ORACLES, QUERIES
 from tools.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,14 +18,15 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, duck, name):
-    assert compare(spark, duck, SF_DIR, queries()[name], oracle_sql()[name]) == []
+    assert compare(spark, duck, SF_DIR, QUERIES[name], ORACLES[name]) == []
 
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"train_predict", "classification_text"}
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
+    assert set(QUERIES) - set(ORACLES) == {"train_predict", "classification_text"}
 
 
 def test_entry(spark):

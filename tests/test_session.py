@@ -10,8 +10,8 @@ class Conf(dict):
         return dict.get(self, key, default)
 
 
-def fake(master, **settings):
-    context = SimpleNamespace(master=master, applicationId="app-1")
+def fake(master, folder=None, **settings):
+    context = SimpleNamespace(master=master, applicationId="app-1", getCheckpointDir=lambda: folder)
     return SimpleNamespace(conf=Conf(settings), sparkContext=context)
 
 
@@ -21,9 +21,14 @@ def test_the_configured_folder_is_used():
     assert session.fresh_path(configured, "x").startswith("s3a://lake/tmp/x-")
 
 
-def test_a_cluster_needs_a_shared_folder():
+@pytest.mark.parametrize("master", ["spark://host", "local-cluster[2,1,1024]"])
+def test_a_cluster_needs_a_shared_folder(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(fake("spark://host"))
+        session.shared_dir(fake(master))
+
+
+def test_the_contexts_folder_is_used_where_none_is_configured():
+    assert session.shared_dir(fake("spark://host", "hdfs://h/c/")) == "hdfs://h/c"
 
 
 def test_a_local_session_falls_back_to_one_folder():
