@@ -96,6 +96,14 @@ def final_key(key: Column, as_of=None) -> Column:
     )
 
 
+def page_final_key(key: Column, as_of=None) -> Column:
+    """Key of one page's rows in the final table: its partition's folder, and a
+    name that no other page has."""
+    folder = F.regexp_replace(final_key(key, as_of), "[^/]*$", "")
+    name = F.regexp_replace(F.element_at(F.split(key, "/"), -1), r"\.html$", "")
+    return F.concat(folder, name, F.lit("-"), F.substring(F.md5(key), 1, 12), F.lit(TABLE_SUFFIX))
+
+
 def processed_key(key: Column) -> Column:
     moved = F.replace(key, F.lit(RAW_PREFIX), F.lit(PROCESSED_PREFIX))
     return F.replace(moved, F.lit(PAGE_SUFFIX), F.lit(TABLE_SUFFIX))

@@ -188,6 +188,16 @@ def headline_count() -> Column:
     return F.size(F.filter("items", valid))
 
 
+def headline_array() -> Column:
+    """The valid headlines of a parsed page, as an array of structs."""
+
+    def finished(item: Column) -> Column:
+        fields = _finished(item)
+        return F.struct(*[fields[name].alias(name) for name in _FIELDS])
+
+    return F.filter(F.transform("items", finished), lambda h: _valid(h["title"], h["link"]))
+
+
 def headline_rows(parsed: DataFrame) -> DataFrame:
     """The valid headlines of parsed pages as rows; a page without any gives none.
 

@@ -8,14 +8,24 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.functions.keys import FINAL_PREFIX, PROCESSED_PREFIX, key_error, partition_fields
+from presslake.functions.clock import stamp
+from presslake.functions.keys import (
+    FINAL_PREFIX,
+    PROCESSED_PREFIX,
+    RAW_PREFIX,
+    final_key,
+    key_error,
+    page_final_key,
+    partition_fields,
+    processed_key,
+)
 from presslake.operators.catalog import register_final
 from presslake.operators.collisions import KEEP_ALL, LAST, last_writers
 from presslake.operators.extract import (
     PERMISSIVE,
     RULE_COLUMNS,
-    extract_headlines,
     final_columns,
+    headline_array,
     headline_count,
     headline_rows,
     parse_pages,
@@ -23,10 +33,10 @@ from presslake.operators.extract import (
     with_source,
 )
 from presslake.operators.rules import BLOCK_CARDS, DAILY_SOURCES, RuleSet
-from presslake.schemas import FINAL_PARTITIONS
+from presslake.schemas import FINAL_HEADLINE, FINAL_PARTITIONS, PROCESSED_HEADLINE
 from presslake.session import materialize
-from presslake.sinks.tables import write_final, write_processed
-from presslake.sources.pages import scan_pages
+from presslake.sinks.tables import CSV_DIALECT, FINAL_DIALECT, csv_body, store_objects
+from presslake.sources.pages import read_event_pages, scan_pages
 
 
 def partitioned_files(
@@ -56,6 +66,36 @@ def placed_headlines(
     )
 
 
+def final_objects(files: DataFrame, as_of=None, on_collision: str = KEEP_ALL) -> DataFrame:
+    """The final table's files of ``partitioned_files``: ``key`` and ``body``.
+
+    Every page has a file of its own, so writing some pages again replaces just
+    their rows; with ``last`` the pages of a source and day share one file, which
+    the greatest key fills. A table should be kept in one of the two ways.
+    """
+    if on_collision not in (KEEP_ALL, LAST):
+        raise ValueError(f"on_collision is {KEEP_ALL!r} or {LAST!r}, not {on_collision!r}")
+    good = files.filter(F.col("error").isNull() & (headline_count() > 0))
+    if on_collision == LAST:
+        good = last_writers(good, as_of)
+    key = final_key if on_collision == LAST else page_final_key
+    rows = F.transform(
+        headline_array(), lambda h: F.struct(h["category"], h["title"], h["link"], stamp(as_of))
+    )
+    body = csv_body(rows, FINAL_HEADLINE.names, FINAL_DIALECT)
+    return good.select(key(F.col("key"), as_of).alias("key"), body.alias("body"))
+
+
+def processed_objects(pages: DataFrame, rules: RuleSet, mode: str = PERMISSIVE) -> DataFrame:
+    """The processed headlines' files, one for each page that has any."""
+    parsed = parse_pages(pages, rules, mode).filter(headline_count() > 0)
+    rows = F.transform(
+        headline_array(), lambda h: F.struct(*[h[name] for name in PROCESSED_HEADLINE.names])
+    )
+    body = csv_body(rows, PROCESSED_HEADLINE.names, CSV_DIALECT)
+    return parsed.select(processed_key(F.col("key")).alias("key"), body.alias("body"))
+
+
 class Published(NamedTuple):
     """Where the table lies, and how the pages fared.
 
@@ -77,17 +117,19 @@ def publish_final(
     table: str | None = None,
     mode: str = PERMISSIVE,
     pages: DataFrame | None = None,
+    prefix: str = RAW_PREFIX,
 ) -> Published:
-    """Read every raw page below ``root``, or ``pages`` landed elsewhere, write
-    the final table, catalogue it.
+    """Read every raw page below ``prefix`` of ``root``, or ``pages`` landed
+    elsewhere, write their files of the final table, catalogue it.
 
-    Reading the pages is the costly step, so what was read is stored, a small
-    part of the pages' size, and both results come from there.
+    Pages that are not read keep their rows. Reading the pages is the costly
+    step, so what was read is stored, a small part of the pages' size, and both
+    results come from there.
     """
-    pages = scan_pages(spark, root, mode=mode) if pages is None else pages
+    pages = scan_pages(spark, root, prefix, mode) if pages is None else pages
     location = f"{root.rstrip('/')}/{FINAL_PREFIX}"
     files = materialize(partitioned_files(pages, rules, mode), "parsed")
-    write_final(placed_headlines(files, as_of, on_collision), location)
+    store_objects(final_objects(files, as_of, on_collision), root)
     if table is not None:
         register_final(spark, table, location)
     fared = files.select("key", "source", headline_count().alias("n_headlines"), "error")
@@ -101,10 +143,25 @@ def publish_processed(
     rules: RuleSet = BLOCK_CARDS,
     mode: str = PERMISSIVE,
     pages: DataFrame | None = None,
+    prefix: str = RAW_PREFIX,
 ) -> str:
-    """Read every raw page below ``root``, or ``pages``, by one rule set; write the
-    processed CSV."""
-    pages = scan_pages(spark, root, mode=mode) if pages is None else pages
-    location = f"{root.rstrip('/')}/{PROCESSED_PREFIX}"
-    write_processed(extract_headlines(pages, rules, mode), location)
-    return location
+    """Read every raw page below ``prefix`` of ``root``, or ``pages``, by one rule
+    set; write a processed CSV file for each. Pages not read keep theirs."""
+    pages = scan_pages(spark, root, prefix, mode) if pages is None else pages
+    store_objects(processed_objects(pages, rules, mode), root)
+    return f"{root.rstrip('/')}/{PROCESSED_PREFIX}"
+
+
+def publish_events(
+    events: DataFrame,
+    root_of_bucket: str,
+    root: str,
+    rules: RuleSet = BLOCK_CARDS,
+    mode: str = PERMISSIVE,
+) -> DataFrame:
+    """From object notifications to processed CSV: the pages they name are read,
+    and no others. Returns what could not be read, with its error."""
+    pages = materialize(read_event_pages(events, root_of_bucket, mode=mode), "event_pages")
+    good = pages.filter(F.col("error").isNull()).select("key", "html")
+    store_objects(processed_objects(good, rules, mode), root)
+    return pages.filter(F.col("error").isNotNull()).select("bucket", "key", "error")

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from presslake.session import is_local
-from presslake.sources.pages import qualified_root
 from presslake.schemas import FINAL_HEADLINE, FINAL_PARTITIONS, PROCESSED_HEADLINE, SCRAPED_HEADLINE
+from presslake.session import is_local, materialize
+from presslake.sources.pages import qualified_root
 
 # Minimal quoting with doubled quotes; text is written as it is.
 CSV_DIALECT = {
@@ -91,16 +92,28 @@ def land_pages(pages: DataFrame, path: str, gather: bool = True) -> None:
     )
 
 
-def write_page_files(pages: DataFrame, root: str) -> DataFrame:
-    """Write each page as its own object at its key below ``root``.
+def csv_body(rows: Column, names: Sequence[str], dialect: Mapping) -> Column:
+    """An array of structs as the text of a CSV file with a header."""
+    options = {name: str(value).lower() for name, value in dialect.items() if name != "header"}
+    lines = F.transform(rows, lambda row: F.to_csv(row, options))
+    header = dialect.get("sep", ",").join(names)
+    return F.concat(F.lit(header + "\n"), F.array_join(lines, "\n"), F.lit("\n"))
+
+
+def write_objects(objects: DataFrame, root: str, body: str = "body") -> DataFrame:
+    """Write the text of each row as its own object, at its ``key`` below ``root``.
 
-    ``pages`` has ``source``, ``key`` and ``html``. Tasks write directly, each
-    object whole; a retried task writes the same objects again. The objects are
-    written when the result is, a row each; ``error`` tells of a failed one.
+    Tasks write directly, each object whole; a retried task, or a rerun, writes
+    the same objects again and no others. The objects are written when the
+    result is, a row each with the other columns, ``n_bytes`` and ``error``,
+    which tells of a failed one.
     """
-    target = qualified_root(pages.sparkSession, root).replace("s3a://", "s3://")
-    if target.startswith("file:") and not is_local(pages.sparkSession):
-        raise ValueError(f"{target} is a folder of each machine; pages must go to a shared store")
+    target = qualified_root(objects.sparkSession, root).replace("s3a://", "s3://")
+    if target.startswith("file:") and not is_local(objects.sparkSession):
+        raise ValueError(f"{target} is a folder of each machine; objects must go to a shared store")
+    kept = [name for name in objects.columns if name != body]
+    fields = [objects.schema[name] for name in kept]
+    schema = StructType([*fields, StructField("n_bytes", LongType()), StructField("error", StringType())])
 
     def put(store, folders: set[str], path: str, data: bytes) -> str | None:
         folder = path.rsplit("/", 1)[0]
@@ -121,30 +134,25 @@ def write_page_files(pages: DataFrame, root: str) -> DataFrame:
         folders: set[str] = set()
         for batch in batches:
             keys = batch.column("key").to_pylist()
-            bodies = [body.encode("utf-8") for body in batch.column("html").to_pylist()]
-            errors = [put(store, folders, f"{base}/{key}", body) for key, body in zip(keys, bodies)]
-            sizes = pa.array([len(body) for body in bodies], pa.int64())
+            bodies = [text.encode("utf-8") for text in batch.column(body).to_pylist()]
+            errors = [put(store, folders, f"{base}/{key}", data) for key, data in zip(keys, bodies)]
+            sizes = pa.array([len(data) for data in bodies], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("source"), batch.column("key"), sizes, pa.array(errors, pa.string())],
-                ["source", "key", "n_bytes", "error"],
+                [*[batch.column(name) for name in kept], sizes, pa.array(errors, pa.string())],
+                [*kept, "n_bytes", "error"],
             )
 
-    schema = "source string, key string, n_bytes bigint, error string"
-    return pages.select("source", "key", "html").mapInArrow(write, schema)
+    return objects.mapInArrow(write, schema)
 
 
-def stream_csv(
-    headlines: DataFrame, path: str, checkpoint: str, dialect: dict, partitions: tuple[str, ...] = ()
-) -> DataStreamWriter:
-    """A streaming CSV sink; its checkpoint makes redelivered files count once.
+def write_page_files(pages: DataFrame, root: str) -> DataFrame:
+    """Write each page (``source``, ``key``, ``html``) as its own object."""
+    return write_objects(pages.select("source", "key", "html"), root, "html")
 
-    Small pages make many small tasks; their rows are gathered into few files.
-    """
-    writer = (
-        _gathered(headlines, *partitions).writeStream.format("csv")
-        .outputMode("append")
-        .options(**dialect)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    return writer.partitionBy(*partitions) if partitions else writer
+
+def store_objects(objects: DataFrame, root: str) -> None:
+    """Write objects now; one that could not be written is an error."""
+    written = materialize(write_objects(objects, root), "written")
+    failed = written.filter(F.col("error").isNotNull()).select("key", "error").head(3)
+    if failed:
+        raise OSError(f"objects not written: {[tuple(row) for row in failed]}")

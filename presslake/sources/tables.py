@@ -20,17 +20,21 @@ CSV_DIALECT = {
 
 
 def scan_headline_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = PROCESSED_HEADLINE
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = PROCESSED_HEADLINE,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Headline CSV files directly under ``path``.
+    """Headline CSV files directly under ``path``, or anywhere below it.
 
     Without a schema the columns are those of the header, all strings; with one
     the header must agree with it. No pass over the data infers anything.
     """
+    options = {**CSV_DIALECT, "recursiveFileLookup": recursive}
     if schema is None:
-        names = spark.read.options(**CSV_DIALECT).csv(path).columns
+        names = spark.read.options(**options).csv(path).columns
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return spark.read.schema(schema).options(**CSV_DIALECT).csv(path)
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def scan_scraped_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

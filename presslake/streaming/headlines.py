@@ -1,26 +1,33 @@
 """The same extraction over pages as they arrive.
 
-No state is kept: each file is read alone. A file is taken in once per path, so
-new content has to land under a new key.
+No state is kept: each file is read alone, and its rows are written to a file of
+their own whose key follows from the page's. So a batch that is run again, or a
+batch job over the same pages, writes the same files. A page is taken in once
+per path; new content has to land under a new key, or be published in batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from presslake.functions.keys import FINAL_PREFIX, PROCESSED_PREFIX
-from presslake.operators.extract import PERMISSIVE, extract_headlines
+from presslake.operators.extract import PERMISSIVE
 from presslake.operators.rules import BLOCK_CARDS, DAILY_SOURCES, RuleSet
-from presslake.plans.headlines import partitioned_files, placed_headlines
-from presslake.schemas import FINAL_PARTITIONS, PROCESSED_HEADLINE
-from presslake.sinks.tables import CSV_DIALECT, FINAL_DIALECT, stream_csv
+from presslake.plans.headlines import final_objects, partitioned_files, processed_objects
+from presslake.session import materialize
+from presslake.sinks.tables import store_objects
 from presslake.sources.pages import stream_pages
 
 
-def _start(writer, once: bool) -> StreamingQuery:
+def _start(
+    pages: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, once: bool
+) -> StreamingQuery:
+    writer = (
+        pages.writeStream.foreachBatch(lambda batch, number: write(batch))
+        .option("checkpointLocation", checkpoint)
+    )
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
@@ -35,9 +42,11 @@ def stream_processed(
 ) -> StreamingQuery:
     """Arriving pages to processed CSV; ``once`` stops when all files are in."""
     pages = stream_pages(spark, root, mode=mode, **source_options)
-    rows = extract_headlines(pages, rules, mode).select(PROCESSED_HEADLINE.names)
-    location = f"{root.rstrip('/')}/{PROCESSED_PREFIX}"
-    return _start(stream_csv(rows, location, checkpoint, CSV_DIALECT), once)
+
+    def write(batch: DataFrame) -> None:
+        store_objects(processed_objects(batch, rules, mode), root)
+
+    return _start(pages, write, checkpoint, once)
 
 
 def stream_final(
@@ -52,7 +61,9 @@ def stream_final(
 ) -> StreamingQuery:
     """Arriving pages to the final table's partitions, every file kept."""
     pages = stream_pages(spark, root, mode=mode, **source_options)
-    rows = placed_headlines(partitioned_files(pages, rules, mode), as_of)
-    location = f"{root.rstrip('/')}/{FINAL_PREFIX}"
-    writer = stream_csv(rows, location, checkpoint, FINAL_DIALECT, FINAL_PARTITIONS)
-    return _start(writer, once)
+
+    def write(batch: DataFrame) -> None:
+        files = materialize(partitioned_files(batch, rules, mode), "parsed")
+        store_objects(final_objects(files, as_of), root)
+
+    return _start(pages, write, checkpoint, once)
