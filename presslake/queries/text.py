@@ -6,9 +6,11 @@ labels here come from word parts of the tables' four languages.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from presslake.functions.text import HEADLINE_KEYWORDS, keyword_label, normalize, tokens
+from presslake.operators.classifier import fit_classifier
 from presslake.operators.report import (
     accuracy,
     class_scores,
@@ -17,9 +19,10 @@ from presslake.operators.report import (
 )
 from presslake.operators.split import train_test_split
 from presslake.operators.tfidf import fit_tfidf, idf, term_statistics, tfidf_weights, vocabulary
-from presslake.plans.classify import evaluate, labelled_titles, preview
+from presslake.plans.classify import evaluate, labelled_titles, preview, require_column
 from presslake.queries.registry import query, table
-from presslake.session import materialize
+from presslake.session import fresh_path, materialize
+from presslake.sinks.tables import write_report
 
 TABLE_KEYWORDS = (
     (1, "thing|ation|ouble"),
@@ -218,6 +221,121 @@ def _language_classes(documents):
     return documents.withColumn("label", label)
 
 
+_TRUTH = " ".join(f"WHEN '{lang}' THEN {label}" for lang, label in LANGUAGES)
+
+
+@query(_SPLIT + f"""
+SELECT 'prediction' AS what, doc_id AS id, CAST(CASE lang {_TRUTH} END AS BIGINT) AS label, TRUE AS holds
+FROM parts WHERE split = 'test'
+UNION ALL SELECT DISTINCT 'slope', CAST(NULL AS BIGINT), CAST(CASE lang {_TRUTH} END AS BIGINT), TRUE FROM parts
+""")
+def regression_conditions(spark, sf_dir):
+    """What makes a fit right: for every class the loss has no slope left at the
+    fitted weights, a thousandth of a document per document at most, and every
+    test document's class is the one with the greatest score by the weights."""
+    documents = _language_classes(_documents(spark, sf_dir)).select("doc_id", "lang", "text", "label")
+    rows = materialize(train_test_split(documents, "doc_id", "lang"), "regression_rows")
+    train = rows.filter("split = 'train'")
+    classifier = fit_classifier(train, "text", "label")
+    model, classes = classifier.model, classifier.classes
+    weights, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    scored = _scores(classifier, rows, weights, intercepts).join(rows.select("doc_id", "split"), "doc_id")
+    scored = materialize(scored, "scores")
+    best = scored.groupBy("doc_id").agg(F.max(F.struct("score", "class")["score"]).alias("top"))
+    predicted = classifier.predict(rows.filter("split = 'test'"), "text").select("doc_id", "label", "prediction")
+    own = scored.select("doc_id", F.col("class").alias("prediction"), "score")
+    holds = F.col("score") >= F.col("top") - 1e-6
+    tests = predicted.join(own, ["doc_id", "prediction"]).join(best, "doc_id").select(
+        F.lit("prediction").alias("what"), F.col("doc_id").alias("id"), F.col("label").cast("bigint"), holds.alias("holds")
+    )
+    return tests.unionByName(_slopes(classifier, train, scored, weights, classes))
+
+
+def _scores(classifier, rows, weights, intercepts):
+    """(doc_id, class, score, label) from the features by sums of products."""
+    terms = _feature_rows(classifier, rows)
+    parts = [
+        F.sum(F.col("value") * F.element_at(F.array(*[F.lit(float(w)) for w in line]), F.col("index") + 1))
+        for line in weights
+    ]
+    summed = terms.groupBy("doc_id").agg(*[part.alias(f"s{k}") for k, part in enumerate(parts)])
+    filled = rows.select("doc_id", "label").join(summed, "doc_id", "left")
+    scores = F.array(*[
+        F.struct(F.lit(c).alias("class"), (F.coalesce(f"s{k}", F.lit(0.0)) + float(intercepts[k])).alias("score"))
+        for k, c in enumerate(classifier.classes)
+    ])
+    each = filled.select("doc_id", "label", F.explode(scores).alias("e"))
+    return each.select("doc_id", "label", "e.class", "e.score")
+
+
+def _feature_rows(classifier, rows):
+    vectors = classifier.features.transform(rows.select("doc_id", "text"), "text", "_features")
+    dense = vectors.select("doc_id", F.posexplode(vector_to_array("_features")).alias("index", "value"))
+    return dense.filter("value <> 0")
+
+
+def _slopes(classifier, train, scored, weights, classes):
+    own = scored.filter("split = 'train'")
+    total = own.groupBy("doc_id").agg(F.sum(F.exp("score")).alias("total"))
+    error = own.join(total, "doc_id").select(
+        "doc_id", "class", (F.exp("score") / F.col("total") - (F.col("class") == F.col("label")).cast("double")).alias("error")
+    )
+    by_term = _feature_rows(classifier, train).join(error, "doc_id").groupBy("class", "index").agg(
+        F.sum(F.col("error") * F.col("value")).alias("slope")
+    )
+    places = F.create_map(*[x for k, c in enumerate(classes) for x in (F.lit(c), F.array(*[F.lit(float(w)) for w in weights[k]]))])
+    slope = F.col("slope") + F.element_at(F.element_at(places, F.col("class")), F.col("index") + 1)
+    worst = by_term.select("class", F.abs(slope).alias("slope")).unionByName(
+        error.groupBy("class").agg(F.abs(F.sum("error")).alias("slope"))
+    )
+    n = train.count()
+    return worst.groupBy("class").agg((F.max("slope") <= 1e-3 * n).alias("holds")).select(
+        F.lit("slope").alias("what"), F.lit(None).cast("bigint").alias("id"), F.col("class").cast("bigint").alias("label"), "holds"
+    )
+
+
+# Titles of the headline keywords' language, with the label each must have.
+SPANISH_TITLES = (
+    ("El GOL del equipo {id}", 1), ("Fútbol y política {id}", 2), ("La salud {id}", 3), ("¡Cine y música! {id}", 4),
+    ("una parte {id}", 4), ("golpear {id}", 1), ("futbol {id}", 0), ("Gobierno: congreso de medicina {id}", 3),
+    ("nada {id}", 0), ("ELECCIONES_{id}", 2), ("¿?", None),
+)
+
+
+@query(
+    "SELECT doc_id, label FROM documents JOIN (VALUES "
+    + ", ".join(f"({i}, {label})" for i, (_, label) in enumerate(SPANISH_TITLES) if label is not None)
+    + f") AS t(form, label) ON doc_id % {len(SPANISH_TITLES)} = form"
+)
+def spanish_keyword_labels(spark, sf_dir):
+    """The shipped keywords on titles that hold them, one for each document."""
+    form = F.element_at(F.array(*[F.lit(t) for t, _ in SPANISH_TITLES]), (F.col("doc_id") % len(SPANISH_TITLES) + 1).cast("int"))
+    title = F.replace(form, F.lit("{id}"), F.col("doc_id").cast("string"))
+    return labelled_titles(_documents(spark, sf_dir).select("doc_id", title.alias("title"))).select("doc_id", "label")
+
+
+@query("""
+SELECT 'text' AS column, 'found' AS outcome, count(*) AS n FROM documents
+UNION ALL SELECT 'titular', 'missing', count(*) FROM documents
+UNION ALL SELECT 'no titles', 'no report', 0
+""")
+def classifier_checks(spark, sf_dir):
+    """The column check on the documents' columns, and the stop without titles."""
+    documents = _documents(spark, sf_dir)
+    rows = []
+    for name in ("text", "titular"):
+        try:
+            rows.append(require_column(documents, name).select(F.lit(name), F.lit("found")))
+        except ValueError:
+            rows.append(documents.select(F.lit(name), F.lit("missing")))
+    found = rows[0].union(rows[1]).toDF("column", "outcome").groupBy("column", "outcome").agg(F.count("*").alias("n"))
+    none = labelled_titles(documents.select("doc_id", F.lit("¿?").alias("title")))
+    outcome = "no report" if evaluate(none, "doc_id") is None else "report"
+    return found.unionByName(none.agg(F.count("*").alias("n")).select(
+        F.lit("no titles").alias("column"), F.lit(outcome).alias("outcome"), "n"
+    ))
+
+
 @query()
 def train_predict(spark, sf_dir):
     """Languages of the test documents as predicted; checked by the tests."""
@@ -328,3 +446,10 @@ SELECT CAST(row_number() OVER (ORDER BY part, class) AS INTEGER) AS line_no, lin
 """)
 def report_text(spark, sf_dir):
     return report_lines(classification_report(_predicted(spark, sf_dir)))
+
+
+@query(f"WITH {_PREDICTED}, {_line_sql()} SELECT line FROM lines")
+def report_file(spark, sf_dir):
+    """The report as it stands in its file."""
+    lines = report_lines(classification_report(_predicted(spark, sf_dir)))
+    return spark.read.text(write_report(lines, fresh_path(spark, "reports"), "test")).withColumnRenamed("value", "line")
