@@ -18,6 +18,30 @@ class Labelled(NamedTuple):
     label: object
 
 
+LEAST_TEXTS = 10  # a text longer than this part of its label's share waits for the others
+
+
+def within_budget(sizes: dict[object, list[int]], max_chars: int) -> dict[object, list[int]]:
+    """For each label the places in its list of ``sizes`` that are taken, ``max_chars`` in all.
+
+    Labels have equal shares, and what a label has no use for is shared by the
+    others. A label's texts are taken in order as they fit; those longer than a
+    ``LEAST_TEXTS``-th of its share come after all others.
+    """
+    left, out = max_chars, {}
+    order = sorted(sizes, key=lambda label: (sum(sizes[label]), repr(label)))
+    for done, label in enumerate(order):
+        own, share = sizes[label], left // (len(order) - done)
+        used, taken = 0, []
+        for i in sorted(range(len(own)), key=lambda i: own[i] * LEAST_TEXTS > share):
+            if 0 < own[i] <= share - used:
+                used += own[i]
+                taken.append(i)
+        left -= used
+        out[label] = sorted(taken)
+    return out
+
+
 def labelled_sample(
     documents: DataFrame,
     labels: DataFrame,
@@ -28,13 +52,15 @@ def labelled_sample(
     max_chars: int,
     seed: int = 17,
 ) -> list[Labelled]:
-    """At most ``per_label`` whole texts of each label, ``max_chars`` characters in all.
+    """At most ``per_label`` whole texts of each label, ``max_chars`` characters in all,
+    of which each label has an equal share as far as it has use for it.
 
     ``labels`` holds (id, label); rows with a null in either are not used, and an
     id with several labels counts with the greatest. Rows are taken in the order
     of a keyed hash of their id, so the sample does not depend on partitioning.
     Only ids and labels are read to choose it; texts are read for the chosen
-    rows alone. A text that would exceed the characters left is passed over.
+    rows alone. A text that would exceed the characters left is passed over, and long
+    texts come after the others of their label (``within_budget``).
     """
     spark = documents.sparkSession
     known = (
@@ -69,12 +95,12 @@ def labelled_sample(
         F.broadcast(ids), "_id"  # per_label rows a label at most
     )
     size = F.coalesce(F.length("_text"), F.lit(0))
-    sizes = texts.groupBy("_id", "_p").agg(F.max(size).alias("n")).collect()
-    left, fitting = max_chars, []
+    sizes = texts.groupBy("_id", "_label", "_p").agg(F.max(size).alias("n")).collect()
+    by_label: dict = {}
     for row in sorted(sizes, key=lambda r: (r._p, repr(r._id))):
-        if 0 < row.n <= left:
-            left -= row.n
-            fitting.append(row._id)
+        by_label.setdefault(row._label, []).append(row)
+    taken_of = within_budget({label: [r.n for r in some] for label, some in by_label.items()}, max_chars)
+    fitting = [by_label[label][i]._id for label, some in taken_of.items() for i in some]
     rows = (
         texts.filter(F.col("_id").isin(fitting))
         .groupBy("_id", "_label", "_p")

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from presslake.llm import langid_crf, queries, retrieval_packing, soft_mixing, toxicity
 from presslake.llm.byte_bpe import Encoder
-from presslake.llm.sampling import Labelled, labelled_sample
+from presslake.llm.sampling import Labelled, labelled_sample, within_budget
 from tests.llm.conftest import SF_DIR, prose
 
 SF_LARGE = "/root/testdata/sf0.01"
@@ -45,6 +45,27 @@ def test_sample_is_bounded_whole_and_independent_of_partitions(spark):
     assert labelled_sample(docs.limit(0), docs.limit(0).select("doc_id", "lang"), "doc_id", "text", "lang", 5, 9) == []
 
 
+def test_a_binding_budget_is_shared_by_label(spark):
+    rows = [(i, "x" * 100, "often" if i % 100 else "rare") for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = labelled_sample(docs, docs.select("doc_id", "lang"), "doc_id", "text", "lang", 1_000, 10_000)
+    assert Counter(r.label for r in got) == {"rare": 20, "often": 80}  # the rare one's unused share is passed on
+
+    rows = [(i, "y" * 50, f"l{i % 20}" if i % 400 < 20 else "l0") for i in range(8_000)] + [(9_000, "z" * 900, "l7")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for seed in range(2):
+        got = labelled_sample(docs, docs.select("doc_id", "lang"), "doc_id", "text", "lang", 500, 20 * 950, seed)
+        counts = Counter(r.label for r in got if len(r.text) == 50)
+        assert len(counts) == 20 and min(counts.values()) >= 18
+        assert sum(len(r.text) for r in got) <= 20 * 950
+
+
+def test_long_texts_come_last_in_their_labels_share():
+    assert within_budget({"a": [900, *[10] * 200], "b": [40]}, 1_000) == {"a": list(range(1, 97)), "b": [0]}
+    assert within_budget({"a": [500, 700]}, 1_000) == {"a": [0]}  # only long ones: as they fit
+    assert within_budget({"a": [0, 2_000], "b": []}, 1_000) == {"a": [], "b": []}
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(0, 10_000))
 def test_marginals_agree_with_summing_over_all_paths(seed):
