@@ -217,13 +217,17 @@ def _named(groups: DataFrame) -> DataFrame:
     return groups.withColumnsRenamed({"level": "_level", "g1": "_g1", "g2": "_g2"})
 
 
-def _grouped(rows: DataFrame) -> tuple[DataFrame, int]:
+def _grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """Rows with the group whose estimate judges them: language and source, or
-    the language, or all, the first of these with enough rows."""
+    the language, or all, the first of these with enough rows. And the rows that
+    estimates are made from: each row once for every such group it belongs to,
+    so that a language's estimate is from all its rows, whatever their source."""
     counts = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    by_lang = counts.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("n_lang"))
+    by_lang = counts.groupBy(F.col("lang").alias("_lang")).agg(
+        F.sum("n").alias("n_lang"), F.min("n").alias("n_least")
+    )
     both = counts.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang"))).select(
-        "_lang", F.col("source").alias("_source"), "n", "n_lang"
+        "_lang", F.col("source").alias("_source"), "n", "n_lang", "n_least"
     )
     both = materialize(
         both.withColumn(
@@ -233,21 +237,30 @@ def _grouped(rows: DataFrame) -> tuple[DataFrame, int]:
         "groups",
     )
     n_groups = both.count()
-    matches = rows["lang"].eqNullSafe(both["_lang"]) & rows["source"].eqNullSafe(both["_source"])
-    side = both
+    some_small = not both.filter("level = 0").isEmpty()
+    levels = F.array(
+        F.when(F.col("level") == 2, 2),
+        F.when((F.col("n_lang") >= LEAST_GROUP) & (F.col("n_least") < LEAST_GROUP), 1),
+        F.when(F.lit(some_small), 0),
+    )
+    side = both.select("_lang", "_source", "level", F.array_compact(levels).alias("levels"))
+    matches = rows["lang"].eqNullSafe(side["_lang"]) & rows["source"].eqNullSafe(side["_source"])
     if n_groups <= BROADCAST_GROUPS:
-        side = F.broadcast(both)
+        side = F.broadcast(side)
     joined = rows.join(side, matches)
-    level = F.col("level")
-    return (
-        joined.select(
-            *rows.columns,
+    numbers = [name for name in rows.columns if name.startswith("x")]
+    members = joined.select("lang", "source", *numbers, F.explode("levels").alias("level"))
+
+    def keyed(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+        level = F.col("level")
+        return table.select(
+            *columns,
             "level",
             F.when(level >= 1, F.col("lang")).alias("g1"),
             F.when(level == 2, F.col("source")).alias("g2"),
-        ),
-        n_groups,
-    )
+        )
+
+    return keyed(joined, rows.columns), keyed(members, numbers), n_groups
 
 
 def estimate(rows: DataFrame, n: int, n_groups: int, least: Sequence[float] = LEAST_SPREAD) -> DataFrame:
@@ -314,8 +327,9 @@ def judge_quality(
     hash of the text), by which rows can be told.
 
     A row is kept unless the base rule fails or its squared distance exceeds
-    ``cutoff``. Estimates are made from the rows that pass the base rule; a null
-    language or source is a value of its own. A null or empty text has no words
+    ``cutoff``. Estimates are made from the rows that pass the base rule: of the
+    language and source, or with fewer than ``LEAST_GROUP`` rows there of the
+    whole language, or of all. A null language or source is a value of its own. A null or empty text has no words
     and fails the base rule; its distance is null. Repeated rows count as often
     as they occur and get equal results. No rows give no rows. Only the four
     named columns are read.
@@ -333,8 +347,8 @@ def judge_quality(
         "statistics",
     )
     good = table.filter("NOT base_failed")
-    rows, n_groups = _grouped(good)
-    groups = estimate(rows, n, n_groups)
+    rows, members, n_groups = _grouped(good)
+    groups = estimate(members, n, n_groups)
     columns = ["id", "lang", "source", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = _attach(rows, _named(groups), n_groups).select(
         *columns, (_squared_distance(n) <= F.lit(cutoff)).alias("kept"), _squared_distance(n).alias("distance")

@@ -167,6 +167,22 @@ def test_outliers_go_and_clean_documents_stay(spark, edge_documents):
     assert robust_outliers.judge_quality(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_an_outlier_alone_in_its_source_or_language_is_judged_by_the_rest(spark, monkeypatch, most):
+    monkeypatch.setattr(robust_outliers, "BROADCAST_GROUPS", most)
+    clean = [(i, prose(i, 80 + i % 50), "en", "a" if i % 3 else "b") for i in range(900)]
+    odd = " ".join(f"w{j}###" for j in range(90))
+    alone = [
+        (1001, odd, "en", "only"), (1002, odd, "pt", "a"), (1003, odd, None, None),
+        (1004, prose(3, 90), "en", "new"), (1005, prose(4, 90), "zh", "a"),
+    ]
+    frame = spark.createDataFrame(clean + alone, "doc_id bigint, text string, lang string, source string")
+    rows = {r.doc_id: r for r in robust_outliers.judge_quality(frame).collect()}
+    assert len(rows) == 905 and all(rows[i].kept for i in range(900))
+    assert [rows[i].kept for i in range(1001, 1006)] == [False, False, False, True, True]
+    assert all(rows[i].distance > 0 for i in range(1001, 1006))
+
+
 @pytest.mark.parametrize("most", [0, 1000])
 def test_groups_too_many_to_broadcast_judge_alike(spark, monkeypatch, most):
     monkeypatch.setattr(robust_outliers, "BROADCAST_GROUPS", most)
