@@ -66,14 +66,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are left out or repeated, so that languages have their target
-    shares of all words. The classifier learns from the documents' own labels."""
+    shares of all words; a language without a target keeps the share it has. The
+    classifier learns from the documents' own labels."""
     labelled = docs.select("doc_id", F.col("lang").alias("domain"))
     if labelled.dropna().isEmpty():
         return docs
     model = soft_mixing.train(docs, labelled)
     known = {name: w for name, w in LANGUAGE_WEIGHTS.items() if name in model.domains}
     weights = known or dict.fromkeys(model.domains, 1.0)
-    mixed = soft_mixing.mix_documents(docs, soft_mixing.plan_mix(docs, model, weights))
+    mixed = soft_mixing.mix_documents(docs, soft_mixing.plan_mix(docs, model, weights, keep_others=True))
     copies = mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return copies.select(docs.columns)
 

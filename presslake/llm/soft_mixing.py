@@ -208,11 +208,13 @@ def plan_mix(
     total_tokens: float | None = None,
     tolerance: float = TOLERANCE,
     max_steps: int = MAX_STEPS,
+    keep_others: bool = False,
 ) -> Mix:
     """Rates by which the domains' shares of tokens become ``weights``.
 
-    Weights are relative; a domain without one gets no tokens. The total is the
-    documents' own by default.
+    Weights are relative; a domain without one gets no tokens, or with
+    ``keep_others`` the share of all tokens that it has, and the weights deal out
+    the rest. The total is the documents' own by default.
     """
     unknown = set(weights) - set(model.domains)
     if unknown:
@@ -223,7 +225,15 @@ def plan_mix(
     if total_tokens is None:
         total_tokens = stored.agg(F.sum("n_tokens")).first()[0] or 0
     share = np.array([weights.get(d, 0.0) for d in model.domains])
-    targets = share / share.sum() * float(total_tokens)
+    share = share / share.sum()
+    others = [i for i, d in enumerate(model.domains) if d not in weights]
+    if keep_others and others:
+        sums = [F.sum(F.col("n_tokens") * F.col("shares")[i]) for i in others]
+        row = stored.agg(F.sum("n_tokens"), *sums).first()
+        own = np.array([(x or 0.0) / max(row[0] or 0, 1) for x in row[1:]])
+        share *= max(1.0 - own.sum(), 0.0)
+        share[others] = own
+    targets = share * float(total_tokens)
     plan, expected = fit_rates(stored, targets, tolerance, max_steps)
     return Mix(model, plan, targets, expected)
 

@@ -357,6 +357,25 @@ def test_pipeline_stages(spark):
     assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
 
 
+def test_a_language_without_a_target_survives_mixing(spark):
+    own = {"en": "amber birch cedar", "de": "dune ember fjord", "pt": "grove heath islet", "zh": "juniper knoll larch"}
+    langs = ["en"] * 4 + ["de"] * 3 + ["pt"] * 2 + ["zh"]
+    rows = [(i, " ".join([own[langs[i % 10]]] * (10 + i % 7)), langs[i % 10]) for i in range(1_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    tokens = Counter()
+    for r in corpus_pipeline.mixing_stage(spark, docs, "").collect():
+        tokens[r.lang] += len(r.text.split())
+    before = Counter()
+    for _, text, lang in rows:
+        before[lang] += len(text.split())
+    total = sum(before.values())
+    assert abs(sum(tokens.values()) / total - 1) < 0.05
+    for lang in ("pt", "zh"):
+        assert abs(tokens[lang] / before[lang] - 1) < 0.15
+    rest = total - before["pt"] - before["zh"]
+    assert abs(tokens["en"] / rest - 0.55 / 0.725) < 0.05 and abs(tokens["de"] / rest - 0.175 / 0.725) < 0.05
+
+
 def test_pipeline_with_odd_rows(spark, edge_documents, tmp_path):
     columns = ["doc_id", "text", "lang", "source"]
     docs = edge_documents.select(columns)
