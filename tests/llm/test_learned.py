@@ -293,6 +293,19 @@ def test_packed_documents_and_small_shards(spark):
         check_packed(rows, texts, partial=shards)
 
 
+def test_rows_without_text_are_dealt_over_shards(spark):
+    rows = [(i, [None, "", prose(i, 20)][i % 3]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    size = 60 * retrieval_packing.ROW_BYTES
+    got = retrieval_packing.pack_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN, shard_bytes=size,
+    ).collect()
+    check_packed(got, rows, partial=len({r.sequence_id >> 32 for r in got}))
+    textless = Counter(r.sequence_id >> 32 for r in got if r.doc_tokens == 1)
+    assert sum(textless.values()) == 600 and max(textless.values()) <= 90
+
+
 def test_neighbours_agree_with_plain_bm25():
     texts = ["red fox runs", "red red fox", "blue sky", "fox in a blue box", "sky and sea", "red fox runs"]
     words = [t.split() for t in texts]
