@@ -8,6 +8,7 @@ texts. Two texts match exactly if their canonical forms are equal.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,25 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 _ZERO_BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD_HEAD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_CLAUSES = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+)
+_BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _bsd(clauses: int) -> list[str]:
+    """The licence with its clauses numbered and not, with and without a title."""
+    some = _BSD_CLAUSES[:clauses]
+    bodies = [
+        "\n\n".join([_BSD_HEAD, *listed, _BSD_TAIL])
+        for listed in ([f"{i}. {text}" for i, text in enumerate(some, 1)], [f"* {text}" for text in some])
+    ]
+    return [title + body for body in bodies for title in ("", f"BSD {clauses}-Clause License\n\n")]
+
+
 KNOWN_LICENCES = {
     "MIT": ["The MIT License (MIT)\n\n" + _MIT, "MIT License\n\n" + _MIT, _MIT],
     "ISC": ["ISC License\n\n" + _ISC, _ISC],
@@ -86,7 +106,12 @@ KNOWN_LICENCES = {
     "CC-BY-NC-4.0-notice": ["Licensed under CC BY-NC 4.0."],
     "GPL-3.0-notice": ["This work is licensed under the GNU General Public License, version 3."],
     "MIT-notice": ["Released under the MIT License."],
+    "BSD-2-Clause": _bsd(2),
+    "BSD-3-Clause": _bsd(3),
 }
+# Whole texts, a file each.
+for _file in sorted((Path(__file__).parent / "licences").glob("*.txt")):
+    KNOWN_LICENCES[_file.stem] = [_file.read_text(encoding="utf-8")]
 
 
 def canonical(text: Column) -> Column:

@@ -211,6 +211,16 @@ def test_licences_match_whole_texts_in_any_spelling(spark, edge_documents):
     assert license_digests.match_licences(frame.limit(0), known).collect() == []
 
 
+def test_common_licences_are_known(spark):
+    names = "Apache-2.0 BSD-2-Clause BSD-3-Clause CC0-1.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 MPL-2.0 Unlicense".split()
+    texts = {name: license_digests.KNOWN_LICENCES[name][0] for name in names}
+    bsd = "Copyright (c) 2021, Somebody\nAll rights reserved.\n\n" + texts["BSD-3-Clause"].replace("1. R", "(1) r")
+    rows = [*texts.items(), ("BSD-3-Clause", bsd)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    found = license_digests.match_licences(frame, license_digests.known_digests(spark)).collect()
+    assert len(found) == len(rows) and all(r.doc_id == r.licence for r in found)
+
+
 def test_many_licences_are_salted(spark, monkeypatch):
     monkeypatch.setattr(license_digests, "BROADCAST_LICENCES", 0)
     known = license_digests.known_digests(spark, {"A": ["one text"], "B": ["One Text!", "two"]})
