@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from presslake.session import materialize
 
 ROWS_PER_BUCKET = 50_000
+COPIES_PER_PART = 1_000_000  # of equal rows, written out by one task
 
 
 class Shard(NamedTuple):
@@ -140,7 +141,13 @@ def place_documents(
     starts = numbered.withColumn("start", F.sum("n").over(inside) - F.col("n"))
     joined = starts.join(firsts, ["shard", "bucket"])
     first = F.col("first") + F.col("start")
-    slots = joined.withColumn("slot", F.explode(F.sequence(first, first + F.col("n") - 1)))
+    last = F.floor((F.col("n") - 1) / COPIES_PER_PART)
+    parts = joined.withColumn("first", first).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    if not placed.filter(F.col("n") > COPIES_PER_PART).isEmpty():
+        parts = parts.hint("rebalance", "shard", "place", "part")
+    start = F.col("first") + F.col("part") * COPIES_PER_PART
+    stop = F.least(start + COPIES_PER_PART, F.col("first") + F.col("n")) - 1
+    slots = parts.withColumn("slot", F.explode(F.sequence(start, stop)))
     return slots.select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )

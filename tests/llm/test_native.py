@@ -102,6 +102,18 @@ def test_shards_follow_id_and_tree_alone_and_growth_moves_only_in(spark, monkeyp
         assert slots == list(range(len(slots)))
 
 
+def test_many_equal_rows_are_written_out_in_parts(spark, monkeypatch):
+    rows = spark.range(5_000).select(F.when(F.col("id") < 2_000, F.col("id")).otherwise(7).alias("doc_id"), F.lit("x").alias("text"))
+    tree = weighted_tree.plan_tree(3)
+    columns = ("doc_id", "shard", "slot")
+    want = sorted(weighted_tree.place_documents(rows, tree).select(*columns).collect())
+    monkeypatch.setattr(weighted_tree, "COPIES_PER_PART", 100)
+    placed = weighted_tree.place_documents(rows, tree).select(*columns, F.spark_partition_id().alias("task"))
+    got = placed.collect()
+    assert sorted(tuple(r)[:3] for r in got) == [tuple(r) for r in want]
+    assert "Rebalance" in placed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_changed_weight_moves_keys_only_with_its_subtree(spark):
     tree = weighted_tree.plan_tree(16)
     heavier = [s._replace(weight=3.0) if s.number == 5 else s for s in tree]
