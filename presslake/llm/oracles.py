@@ -206,3 +206,9 @@ def _factor(lower, least, scale: int, inflation: float) -> str:
             value = f"({value} - l{i}_{k} * l{j}_{k})"
         out.append(f"sqrt(greatest({value}, 1e-6)) AS l{i}_{i}" if i == j else f"{value} / l{j}_{j} AS l{i}_{j}")
     return ", ".join(out)
+
+CHUNK_RECIPES = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslake.llm import (
+    chunk_recipes,
     jaccard_join,
     langid_crf,
     license_digests,
@@ -132,6 +133,11 @@ def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_recipes.group_exact(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op2_url_filter"] = oracles.URL_FILTER
 ORACLES["op3_vector_pairs"] = oracles.VECTOR_PAIRS
 ORACLES["op5_robust_outliers"] = oracles.robust_outliers(
@@ -144,3 +150,4 @@ ORACLES["op6_license_digests"] = oracles.license_digests(
     license_digests.KNOWN_LICENCES, license_digests.EQUIVALENT_WORDS, license_digests.COPYRIGHT_LINE
 )
 ORACLES["op7_jaccard_join"] = oracles.JACCARD_JOIN
+ORACLES["op11_chunk_recipes"] = oracles.CHUNK_RECIPES

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from presslake.session import materialize
 
+COPIES_PER_PART = 1_000_000  # equal rows that one input row writes out
 BROADCAST_KEYS = 500_000  # keys up to this number are broadcast: some 50 MB at most
 
 
@@ -29,3 +30,18 @@ def without(documents: DataFrame, rejected: DataFrame, keys: dict) -> DataFrame:
     for name, value in keys.items():
         same = same & value.eqNullSafe(F.col(f"_{name}"))
     return documents.join(side, same, "left_anti")
+
+
+def numbered_copies(rows: DataFrame, count: str, number: str, many: bool) -> DataFrame:
+    """Every row as often as its ``count`` says, its copies numbered from 1.
+
+    ``many`` tells that some count is above ``COPIES_PER_PART``: such a row is cut
+    into parts that are dealt over the tasks before they are written out.
+    """
+    last = F.floor((F.col(count) - 1) / COPIES_PER_PART)
+    parts = rows.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    if many:
+        parts = parts.repartition(F.xxhash64(*rows.columns, "_part"))
+    first = F.col("_part") * COPIES_PER_PART + 1
+    until = F.least(F.col(count), first + COPIES_PER_PART - 1)
+    return parts.withColumn(number, F.explode(F.sequence(first, until))).drop("_part")
