@@ -212,3 +212,78 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+FILTER_AUDIT = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), flagged AS (
+    SELECT part,
+           [len(w) < 200,
+            100 * len(list_distinct(w)) < 50 * len(w),
+            100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+            regexp_matches(t, '[#$%&*|]'),
+            coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails,
+           doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+           doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+    FROM words
+), masks AS (
+    SELECT part, fails, good, toxic, count(*) AS n FROM flagged GROUP BY ALL
+), letters(f, p) AS (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)
+), sequences AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.p, b.p, c.p, d.p, e.p] AS ps
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.p, b.p, c.p, d.p, e.p])) = 5
+), steps AS (
+    SELECT filter_order, step, ps[step] AS own, ps[1 : step - 1] AS before
+    FROM sequences, (SELECT unnest(range(1, 6)) AS step)
+), met AS (
+    SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS failing,
+           len([p FOR p IN before IF fails[p]]) > 0 AS gone, len([x FOR x IN fails IF x]) AS failed
+    FROM masks, steps
+), counted AS (
+    SELECT part, filter_order, step, own,
+           sum(CASE WHEN NOT failing AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+           sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+           sum(CASE WHEN failing AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+           sum(CASE WHEN failing AND failed = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+           sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+           sum(CASE WHEN failing AND NOT gone AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+    FROM met GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
+SIGNATURE_SEARCH = r"""
+WITH sized AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents WHERE text IS NOT NULL
+), held AS (SELECT doc_id, r, w, len(w)::BIGINT AS n FROM sized WHERE len(w) > 0
+), totals AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM held
+), asked AS (
+    SELECT item_id, t, count(*)::BIGINT AS c
+    FROM (SELECT item_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark)
+    GROUP BY ALL
+), found AS (
+    SELECT r, doc_id, n, t, count(*)::BIGINT AS tf
+    FROM (SELECT r, doc_id, n, unnest(w) AS t FROM held) WHERE t IN (SELECT t FROM asked) GROUP BY ALL
+), weights AS (
+    SELECT t, floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)))::BIGINT AS weight
+    FROM (SELECT t, count(*)::BIGINT AS df FROM found GROUP BY t), totals
+), scores AS (
+    SELECT item_id, r, doc_id,
+           sum(c * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+    FROM asked JOIN found USING (t) JOIN weights USING (t), totals GROUP BY ALL
+), placed AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT * FROM placed WHERE rank <= 10
+"""

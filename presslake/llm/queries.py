@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from presslake.llm import (
     chunk_recipes,
+    filter_audit,
     jaccard_join,
     langid_crf,
     license_digests,
     oracles,
     retrieval_packing,
     robust_outliers,
+    signature_search,
     soft_mixing,
     toxicity,
     url_filter,
@@ -22,6 +24,7 @@ from presslake.llm import (
 )
 from presslake.llm.sampling import fold
 from presslake.queries.registry import Query, table
+from presslake.session import materialize
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -138,6 +141,19 @@ def op11_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.group_exact(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op12_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    index = materialize(signature_search.build_index(documents), "signatures")
+    return signature_search.search(documents, index, table(spark, sf_dir, "benchmark"), k=10)
+
+
+@_query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.interactions(counts)
+
+
 ORACLES["op2_url_filter"] = oracles.URL_FILTER
 ORACLES["op3_vector_pairs"] = oracles.VECTOR_PAIRS
 ORACLES["op5_robust_outliers"] = oracles.robust_outliers(
@@ -151,3 +167,5 @@ ORACLES["op6_license_digests"] = oracles.license_digests(
 )
 ORACLES["op7_jaccard_join"] = oracles.JACCARD_JOIN
 ORACLES["op11_chunk_recipes"] = oracles.CHUNK_RECIPES
+ORACLES["op13_filter_audit"] = oracles.FILTER_AUDIT
+ORACLES["op12_signature_search"] = oracles.SIGNATURE_SEARCH

@@ -56,9 +56,12 @@ def blocks(batches, column: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordB
             start = stop
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of all rows, and the number of words up to each row."""
-    inside = ~WHITE[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all rows, and the number of words up to each row.
+    ``apart`` tells of each byte whether it is outside words."""
+    inside = ~apart[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     borders = offsets[1:-1]
@@ -86,12 +89,15 @@ def word_hashes(
     starts, ends, rows = word_spans(data, offsets)
     if not len(starts):
         return np.empty(0, np.uint64), rows
-    lengths = ends - starts
-    letters = data[~WHITE[data]]
+    return span_hashes(data[~WHITE[data]], ends - starts), rows
+
+
+def span_hashes(letters: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of byte strings that stand one after another, none of them empty."""
     first = np.cumsum(lengths) - lengths
     place = np.arange(len(letters)) - np.repeat(first, lengths)
     sums = np.add.reduceat(_BYTE[letters] * _PLACE[place & 4095], first)
-    return mix(sums + lengths.astype(np.uint64)), rows
+    return mix(sums + lengths.astype(np.uint64))
 
 
 def shingle_hashes(
