@@ -18,7 +18,7 @@ from presslake.operators.report import (
     report_lines,
 )
 from presslake.operators.split import train_test_split
-from presslake.operators.tfidf import fit_tfidf, idf, term_statistics, tfidf_weights, vocabulary
+from presslake.operators.tfidf import fit_tfidf, idf, term_statistics, tfidf_weights, top_terms, vocabulary
 from presslake.plans.classify import evaluate, labelled_titles, preview, require_column
 from presslake.queries.registry import query, table
 from presslake.session import fresh_path, materialize
@@ -182,6 +182,18 @@ def _weights_sql(where):
 
 @query(f"WITH {_terms_sql()} SELECT term, n, df FROM vocab")
 def vocab_topk(spark, sf_dir):
+    return top_terms(_documents(spark, sf_dir), "text")
+
+
+@query(f"WITH {_terms_sql()} SELECT term, n, df FROM terms ORDER BY n DESC, term LIMIT 100")
+def vocab_small_summaries(spark, sf_dir):
+    """The 100 most frequent terms from summaries far smaller than the vocabulary."""
+    return top_terms(_documents(spark, sf_dir), "text", 100, summary_terms=400)
+
+
+@query(f"WITH {_terms_sql()} SELECT term, n, df FROM vocab")
+def vocab_all_terms(spark, sf_dir):
+    """The vocabulary by the way that shuffles every term."""
     return vocabulary(term_statistics(_documents(spark, sf_dir), "text"))
 
 
