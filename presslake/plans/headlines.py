@@ -75,15 +75,19 @@ def final_objects(files: DataFrame, as_of=None, on_collision: str = KEEP_ALL) ->
     """
     if on_collision not in (KEEP_ALL, LAST):
         raise ValueError(f"on_collision is {KEEP_ALL!r} or {LAST!r}, not {on_collision!r}")
-    good = files.filter(F.col("error").isNull() & (headline_count() > 0))
+    bodies = headline_bodies(files, as_of)
     if on_collision == LAST:
-        good = last_writers(good, as_of)
-    key = final_key if on_collision == LAST else page_final_key
+        return last_writers(materialize(bodies, "bodies"), as_of).select(F.col("final_key").alias("key"), "body")
+    return bodies.select(page_final_key(F.col("key"), as_of).alias("key"), "body")
+
+
+def headline_bodies(files: DataFrame, as_of=None) -> DataFrame:
+    """The text of the final table's file for each page with headlines, by the page's ``key``."""
+    good = files.filter(F.col("error").isNull() & (headline_count() > 0))
     rows = F.transform(
         headline_array(), lambda h: F.struct(h["category"], h["title"], h["link"], stamp(as_of))
     )
-    body = csv_body(rows, FINAL_HEADLINE.names, FINAL_DIALECT)
-    return good.select(key(F.col("key"), as_of).alias("key"), body.alias("body"))
+    return good.select("key", csv_body(rows, FINAL_HEADLINE.names, FINAL_DIALECT).alias("body"))
 
 
 def processed_objects(pages: DataFrame, rules: RuleSet, mode: str = PERMISSIVE) -> DataFrame:
