@@ -4,9 +4,11 @@ Each text becomes the set of its character n-grams (bytes of the text with A to
 Z lower-cased and white space as blanks), hashed into a table. Every n-gram's
 feature value is its naive Bayes log-count ratio between toxic and clean
 training texts; logistic regression is fitted on these values, and its weights
-are drawn towards their mean size as in the usual NB-SVM interpolation. The
-model is two vectors of fixed size; scoring is one pass over the table without
-a shuffle.
+are drawn towards their mean size as in the usual NB-SVM interpolation. Where
+toxic begins is set by texts that were left out of a fit: folds of the training
+texts are scored by models of the others, and the scores are shifted so that
+0.5 parts them best. The model is a vector of fixed size; scoring is one pass
+over the table without a shuffle.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ SMOOTHING = 1.0
 EPOCHS = 6
 PENALTY = 0.002
 BLEND = 0.9
+FOLDS = 3  # of the training texts, each scored by a model of the others
+LEAST_VALIDATED = 60  # texts of either label below which scores are not shifted
+MOST_SHIFT = 2.0  # log-odds
+CLEAN_WEIGHT = 2.0  # what a clean text taken for toxic counts, against a toxic one missed
 LEAST_ROWS = 4  # training texts an n-gram must be in
 LEAST_DEVIATIONS = 3.5  # log-count ratio, in standard errors, below which an n-gram tells nothing
 
@@ -80,14 +86,48 @@ class Model(NamedTuple):
 
 def fit(sample: list[Labelled]) -> Model:
     """Fit on (text, 0 or 1); without both labels every score is their share."""
+    model = _fit(sample)
+    shift = _border(sample)
+    return model._replace(bias=model.bias - shift)
+
+
+def _border(sample: list[Labelled]) -> float:
+    """The score, as log-odds, from which texts of a left-out fold are best called
+    toxic: where the share of toxic texts above it exceeds ``CLEAN_WEIGHT`` times that
+    of clean ones most. Of equal places within ``MOST_SHIFT`` the one nearest to even
+    odds; even odds if a label is too rare."""
+    labels = np.array([int(row.label) for row in sample])
+    if min((labels == k).sum() for k in (0, 1)) < LEAST_VALIDATED:
+        return 0.0
+    # Each label's texts are dealt out in turn, in the sample's order.
+    turn = np.empty(len(labels), np.int64)
+    for k in (0, 1):
+        turn[labels == k] = np.arange((labels == k).sum()) % FOLDS
+    odds, distinct = np.empty(len(labels)), Distinct()
+    for f in range(FOLDS):
+        model = _fit([row for row, t in zip(sample, turn) if t != f])
+        for i in np.flatnonzero(turn == f):
+            p = score_texts(pa.array([sample[i].text], pa.string()), model, distinct)[0]
+            odds[i] = np.log(max(p, 1e-12) / max(1 - p, 1e-12))
+    order = np.argsort(odds)
+    below = [np.concatenate([[0], np.cumsum(labels[order] == k)]) / (labels == k).sum() for k in (0, 1)]
+    edges = np.concatenate([[odds[order[0]] - 1], odds[order], [odds[order[-1]] + 1]])
+    places = np.clip(0.0, edges[:-1], edges[1:])  # the point of each gap nearest to even odds
+    inner = np.clip(places, edges[:-1] + (edges[1:] - edges[:-1]) / 4, edges[1:] - (edges[1:] - edges[:-1]) / 4)
+    gain = np.round(CLEAN_WEIGHT * below[0] - below[1], 9)
+    gain[np.abs(inner) > MOST_SHIFT] = -np.inf
+    best = np.flatnonzero(gain == gain.max())
+    return float(inner[best[np.argmin(np.abs(inner[best]))]]) if np.isfinite(gain.max()) else 0.0
+
+
+def _fit(sample: list[Labelled]) -> Model:
     labels = np.array([float(row.label) for row in sample])
     if not len(labels) or labels.min() == labels.max():
         share = min(max(labels.mean() if len(labels) else 0.0, 1e-3), 1 - 1e-3)
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))))
     distinct = Distinct()
-    sets = [distinct(row) for some in _pieces(sample) for row in ngram_rows(some)]
     counts = np.full((2, 1 << BITS), SMOOTHING)
-    for own, label in zip(sets, labels):
+    for own, label in zip(_sets(sample, distinct), labels):
         counts[int(label), own] += 1
     n_rows = np.array([(labels == k).sum() for k in (0, 1)]) + 2 * SMOOTHING
     ratio = np.log(counts[1] / n_rows[1]) - np.log(counts[0] / n_rows[0])
@@ -95,21 +135,23 @@ def fit(sample: list[Labelled]) -> Model:
     ratio[np.abs(ratio) < LEAST_DEVIATIONS * np.sqrt((1 / counts).sum(axis=0))] = 0
     ratio[0] = 0
     ratio = ratio.astype(np.float32)
-    return _logistic(sets, labels, ratio)
+    # N-grams are found anew, so that only those that tell something are held.
+    return _logistic([own[ratio[own] != 0] for own in _sets(sample, distinct)], labels, ratio)
 
 
-def _pieces(sample: list[Labelled], rows: int = 200):
-    for i in range(0, len(sample), rows):
-        yield pa.array([row.text for row in sample[i : i + rows]], pa.string())
+def _sets(sample: list[Labelled], distinct: Distinct):
+    """The distinct n-grams of each text, one text after another."""
+    for row in sample:
+        for grams in ngram_rows(pa.array([row.text], pa.string())):
+            yield distinct(grams)
 
 
-def _logistic(sets, labels, ratio) -> Model:
+def _logistic(used, labels, ratio) -> Model:
     """Stochastic gradient with per-feature step sizes; rows in a fixed shuffled order."""
     weights = np.zeros(len(ratio), np.float32)
     spread = np.full(len(ratio), 1e-2, np.float32)
     bias, bias_spread = 0.0, 1e-2
-    order = np.random.Generator(np.random.PCG64(5)).permutation(len(sets))
-    used = [own[ratio[own] != 0] for own in sets]
+    order = np.random.Generator(np.random.PCG64(5)).permutation(len(used))
     # The rarer label weighs more, though not as much as it is rarer.
     weight = np.sqrt(len(labels) / (2 * np.array([(labels == k).sum() for k in (0, 1)])))
     for _ in range(EPOCHS):

@@ -414,3 +414,34 @@ def test_queries_agree_with_sql(spark, name):
 
 def test_every_operator_is_registered():
     assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+
+
+def test_toxicity_border_parts_left_out_texts():
+    rng = np.random.default_rng(8)
+    words = [f"word{i}" for i in range(60)]
+    marks = [f"vile{i}" for i in range(12)]
+    sample = []
+    for i in range(400):
+        own = list(rng.choice(words, 20))
+        if i % 4 == 0:
+            own[3] = marks[i % 12]
+        sample.append(Labelled(" ".join(own), int(i % 4 == 0)))
+    shift = toxicity._border(sample)
+    assert abs(shift) <= toxicity.MOST_SHIFT
+    plain, model = toxicity._fit(sample), toxicity.fit(sample)
+    assert model.bias == pytest.approx(plain.bias - shift) and (model.weights == plain.weights).all()
+    assert toxicity._border(sample[:150]) == 0.0  # too few toxic ones to tell
+
+
+def test_toxicity_score_is_the_sum_over_distinct_ngrams():
+    sample = [Labelled(f"vile stuff {i}", 1) for i in range(30)] + [Labelled(f"fine words {i}", 0) for i in range(30)]
+    model = toxicity.fit(sample)
+    for text in ("Vile\tstuff and fine words, vile stuff", "", "é" * 9):
+        data = bytes(32 if b in b"\t\n\x0b\x0c\r " else b + 32 * (65 <= b <= 90) for b in text.encode())
+        grams = {data[i : i + n] for n in toxicity.ORDERS for i in range(len(data) - n + 1)}
+        places = {
+            max(((int.from_bytes(g, "little") + len(g)) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - toxicity.BITS), 1) for g in grams
+        }
+        z = model.bias + sum(float(model.weights[p]) for p in places)
+        got = toxicity.score_texts(pa.array([text]), model, toxicity.Distinct())[0]
+        assert got == pytest.approx(1 / (1 + np.exp(-z)))
