@@ -330,7 +330,7 @@ def train(
     max_chars: int = MAX_CHARS,
 ) -> Model:
     """Fit on a bounded sample of the ``usable`` rows with a language."""
-    labels = documents.filter(usable).select(id_col, lang_col)
+    labels = documents.filter(usable).select(id_col, text_col, lang_col)
     return fit(labelled_sample(documents, labels, id_col, text_col, lang_col, per_label, max_chars))
 
 

@@ -56,18 +56,22 @@ def labelled_sample(
     of which each label has an equal share as far as it has use for it.
 
     ``labels`` holds (id, label); rows with a null in either are not used, and an
-    id with several labels counts with the greatest. Rows are taken in the order
+    id with several labels counts with the greatest. If it holds texts too, a row's
+    text goes with that row's own label; else any text of the id does. Rows are taken in the order
     of a keyed hash of their id, so the sample does not depend on partitioning.
     Only ids and labels are read to choose it; texts are read for the chosen
     rows alone. A text that would exceed the characters left is passed over, and long
     texts come after the others of their label (``within_budget``).
     """
     spark = documents.sparkSession
+    own = text_col in labels.columns
+    key = F.xxhash64(F.col(text_col)) if own else F.lit(0).cast("bigint")
     known = (
-        labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
+        labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), key.alias("_key"))
         .dropna()
         .groupBy("_id")
-        .agg(F.max("_label").alias("_label"))
+        .agg(F.max(F.struct("_label", "_key")).alias("_row"))
+        .select("_id", "_row._label", "_row._key")
     )
     counts = {row[0]: row[1] for row in known.groupBy("_label").count().collect()}
     place = F.xxhash64(F.lit(seed), F.col("_id").cast("string"))
@@ -77,7 +81,7 @@ def labelled_sample(
         share = min(1.0, (1.3 * per_label + 30) / n)
         bound = int(-(2**63) + share * (2**64 - 1))
         chosen = chosen | ((F.col("_label") == F.lit(label)) & (place <= F.lit(min(bound, 2**63 - 1))))
-    picked = sorted(known.filter(chosen).select(place.alias("p"), "_id", "_label").collect(), key=lambda r: (r.p, repr(r._id)))
+    picked = sorted(known.filter(chosen).select(place.alias("p"), "_id", "_label", "_key").collect(), key=lambda r: (r.p, repr(r._id)))
     kept: dict = {}
     taken = dict.fromkeys(counts, 0)
     for row in picked:
@@ -87,13 +91,14 @@ def labelled_sample(
     if not kept:
         return []
     ids = spark.createDataFrame(
-        [(row._id, row._label, row.p) for row in kept.values()],
+        [(row._id, row._label, row._key, row.p) for row in kept.values()],
         f"_id {known.schema['_id'].dataType.simpleString()}, "
-        f"_label {known.schema['_label'].dataType.simpleString()}, _p bigint",
-    )
-    texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        F.broadcast(ids), "_id"  # per_label rows a label at most
+        f"_label {known.schema['_label'].dataType.simpleString()}, _key bigint, _p bigint",
     )
+    texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    texts = texts.join(F.broadcast(ids), "_id")  # per_label rows a label at most
+    if own:
+        texts = texts.filter(F.xxhash64("_text") == F.col("_key"))
     size = F.coalesce(F.length("_text"), F.lit(0))
     sizes = texts.groupBy("_id", "_label", "_p").agg(F.max(size).alias("n")).collect()
     by_label: dict = {}

@@ -45,6 +45,13 @@ def test_sample_is_bounded_whole_and_independent_of_partitions(spark):
     assert labelled_sample(docs.limit(0), docs.limit(0).select("doc_id", "lang"), "doc_id", "text", "lang", 5, 9) == []
 
 
+def test_text_and_label_are_of_one_row(spark):
+    rows = [(1, "aaa english", "en"), (1, "zzz unlabelled", None), (2, "mmm", "de"), (2, "nnn", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = labelled_sample(docs, docs, "doc_id", "text", "lang", 5, 1_000)
+    assert sorted(map(tuple, got)) == [("aaa english", "en"), ("nnn", "fr")]
+
+
 def test_a_binding_budget_is_shared_by_label(spark):
     rows = [(i, "x" * 100, "often" if i % 100 else "rare") for i in range(2_000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
