@@ -68,8 +68,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents are left out or repeated, so that languages have their target
     shares of all words; a language without a target keeps the share it has. The
     classifier learns from the documents' own labels."""
-    labelled = docs.select("doc_id", F.col("lang").alias("domain"))
-    if labelled.dropna().isEmpty():
+    labelled = docs.select("doc_id", "text", F.col("lang").alias("domain"))
+    if labelled.select("doc_id", "domain").dropna().isEmpty():
         return docs
     model = soft_mixing.train(docs, labelled)
     known = {name: w for name, w in LANGUAGE_WEIGHTS.items() if name in model.domains}
