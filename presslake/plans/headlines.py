@@ -19,8 +19,9 @@ from presslake.functions.keys import (
     partition_fields,
     processed_key,
 )
-from presslake.operators.catalog import register_final
+from presslake.operators.catalog import register_final, register_written
 from presslake.operators.collisions import KEEP_ALL, LAST, last_writers
+from presslake.operators.compaction import partition_folder
 from presslake.operators.extract import (
     PERMISSIVE,
     RULE_COLUMNS,
@@ -36,7 +37,7 @@ from presslake.operators.rules import BLOCK_CARDS, DAILY_SOURCES, RuleSet
 from presslake.schemas import FINAL_HEADLINE, FINAL_PARTITIONS, PROCESSED_HEADLINE
 from presslake.session import materialize
 from presslake.sinks.tables import CSV_DIALECT, FINAL_DIALECT, csv_body, store_objects
-from presslake.sources.pages import read_event_pages, scan_pages
+from presslake.sources.pages import qualified_root, read_event_pages, scan_pages
 
 
 def partitioned_files(
@@ -56,7 +57,8 @@ def placed_headlines(
         raise ValueError(f"on_collision is {KEEP_ALL!r} or {LAST!r}, not {on_collision!r}")
     good = files.filter(F.col("error").isNull())
     if on_collision == LAST:
-        good = last_writers(good.filter(headline_count() > 0), as_of)
+        # Stored, as it is read twice and reading the pages is the costly step.
+        good = last_writers(materialize(good.filter(headline_count() > 0), "parsed"), as_of)
     fields = partition_fields(F.col("key"), as_of)
     placed = good.select(
         *[value.alias(name) for name, value in fields.items()], *RULE_COLUMNS, "items"
@@ -112,6 +114,16 @@ class Published(NamedTuple):
     unknown_sources: DataFrame
 
 
+def written_places(files: DataFrame, root: str, as_of=None) -> dict[tuple[str, ...], str]:
+    """The partitions that have files of ``partitioned_files``, and their folders: a
+    row for each source and day of a run comes to the driver."""
+    base = qualified_root(files.sparkSession, root)
+    good = files.filter(F.col("error").isNull() & (headline_count() > 0))
+    fields = partition_fields(F.col("key"), as_of)
+    found = good.select(*[value.alias(name) for name, value in fields.items()]).distinct().collect()
+    return {tuple(row): f"{base}/{partition_folder(row)}" for row in found}
+
+
 def publish_final(
     spark: SparkSession,
     root: str,
@@ -135,7 +147,10 @@ def publish_final(
     files = materialize(partitioned_files(pages, rules, mode), "parsed")
     store_objects(final_objects(files, as_of, on_collision), root)
     if table is not None:
-        register_final(spark, table, location)
+        if spark.catalog.tableExists(table):
+            register_written(spark, table, written_places(files, root, as_of))
+        else:
+            register_final(spark, table, location)
     fared = files.select("key", "source", headline_count().alias("n_headlines"), "error")
     unknown = unknown_sources(with_source(pages).select("key", "source"), rules)
     return Published(location, fared, unknown)
