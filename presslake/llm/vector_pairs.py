@@ -160,6 +160,20 @@ def _compared(tiles: DataFrame, dims: int, axes: np.ndarray, threshold: float) -
     return tiles.mapInArrow(run, "node bigint, links bigint, joined bigint")
 
 
+def _scaled(vector: Column) -> Column:
+    """``vector`` times a power of two, so that its largest component is near 1 and no
+    square overflows or vanishes; cosines do not change. In two steps, as a power
+    for the least numbers would overflow."""
+
+    def by_largest(power: Column) -> Column:
+        half = F.floor(power / 2)
+        first, second = F.pow(F.lit(2.0), -half), F.pow(F.lit(2.0), half - power)
+        return F.transform(vector, lambda x: x * first * second)
+
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x)))
+    return F.element_at(F.transform(F.array(F.floor(F.log2(largest))), by_largest), 1)
+
+
 def link_vectors(
     embeddings: DataFrame,
     threshold: float = 0.93,
@@ -183,7 +197,7 @@ def link_vectors(
         F.col(id_col).alias("id"), F.col(label_col).alias("label"),
         F.col(vector_col).cast("array<double>").alias("vector"),
     ).withColumn("usable", _usable(F.col("vector")) & F.col("label").isNotNull())
-    rows = rows.withColumn("vector", F.when(F.col("usable"), F.col("vector")))
+    rows = rows.withColumn("vector", F.when(F.col("usable"), _scaled(F.col("vector"))))
     good = rows.filter("usable")
     lengths = sorted(r[0] for r in good.select(F.size("vector")).distinct().collect())
     # Equal vectors become one before the shuffle; a node is a number of a written table.
@@ -248,7 +262,9 @@ def _links_of_length(classes: DataFrame, dims: int, threshold: float, block_rows
         ),
         "cells",
     )
-    name = F.concat_ws("/", "label", "bin", F.pmod(F.xxhash64("vector"), F.col("blocks")))
+    # A label may hold any character; its hexadecimal form parts from the rest.
+    plain = F.hex(F.col("label").cast("string"))
+    name = F.concat_ws("/", plain, "bin", F.pmod(F.xxhash64("vector"), F.col("blocks")))
     blocks = materialize(
         _packed(
             placed.join(cells, ["label", "bin"]).select(name.alias("block"), "node", "times", "vector"), dims

@@ -73,6 +73,23 @@ def test_vectors_agree_with_brute_force(spark, block_rows, threshold):
     assert Counter(tuple(r) for r in got) == want
 
 
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_labels_of_any_characters_and_extreme_components(spark, kind):
+    tiny, huge = (1e-200, 1e200) if kind == "double" else (1e-40, 1e38)
+    rows = [
+        (1, "a/1", [1.0, 0.0]), (2, "a/2", [1.0, 0.0]), (3, "a/b", [1.0, 0.0]), (4, "a/b", [2.0, 0.01]), (5, "", [0.0, 1.0]),
+        (6, "t", [tiny, 0.0]), (7, "t", [3 * tiny, 0.0]), (8, "t", [0.0, tiny]),
+        (9, "h", [huge, 0.0]), (10, "h", [2 * huge, huge / 100]), (11, "h", [-huge, 0.0]), (12, "h", [5e-324, 0.0]),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id bigint, label string, embedding array<double>")
+    frame = frame.withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_pairs.link_vectors(frame).collect()}
+    near = (2, 9) if kind == "double" else (1, 9)  # the least double is no float but zero
+    want = {1: (0, 1), 2: (0, 2), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8)}
+    want |= {9: near, 10: near, 11: (0, 11), 12: near if kind == "double" else (0, 12)}
+    assert got == want
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert vector_pairs.link_vectors(frame).collect() == []
