@@ -1,15 +1,14 @@
 """Shards by descending a weighted hash tree: region, rack, shard.
 
-At every level each child of the node reached so far draws ``-ln(u) / weight``
-with ``u`` a hash of (key, child), and the least draw wins. A child's draws
-depend on nothing but the key, the child and its weight. So a weight that
-changes moves keys only between that child and its siblings, and the draws
-below the other children stay as they are: movement is confined to the subtrees
-whose weights change.
-
-A shard that is added opens a region of its own, with its own weight. The
-weights and draws of all other nodes stay, so rows move into the new shard and
-nowhere else.
+A shard draws ``-ln(u) / weight`` with ``u`` a hash of (key, shard number), and a
+rack or region draws the least of what the shards below it draw, which is again
+a draw by its whole weight. At every level the child with the least draw wins.
+So each node gets keys by its weight, and a weight that changes, a new shard's
+from nothing included, changes draws only on the way from that shard to the
+root: keys move into it or out of it, and everything else stays.
+
+A shard's place in the tree follows from its number. So the number of shards
+decides where a key goes, in whatever order they came to be.
 """
 
 from __future__ import annotations
@@ -32,62 +31,50 @@ class Shard(NamedTuple):
     weight: float = 1.0
 
 
+def _shard(number: int, weight: float, racks_per_region: int, shards_per_rack: int) -> Shard:
+    region, inside = divmod(number, racks_per_region * shards_per_rack)
+    return Shard(f"region{region}", f"rack{inside // shards_per_rack}", number, weight)
+
+
 def plan_tree(shards: int, racks_per_region: int = 2, shards_per_rack: int = 4) -> list[Shard]:
     """``shards`` equal shards, dealt into full racks and regions in order."""
-    per_region = racks_per_region * shards_per_rack
-    return [
-        Shard(f"region{n // per_region}", f"rack{n % per_region // shards_per_rack}", n)
-        for n in range(shards)
-    ]
+    return [_shard(n, 1.0, racks_per_region, shards_per_rack) for n in range(shards)]
 
 
-def add_shard(tree: list[Shard], weight: float = 1.0) -> list[Shard]:
-    """The tree with one more shard, in a region of its own."""
+def add_shard(
+    tree: list[Shard], weight: float = 1.0, racks_per_region: int = 2, shards_per_rack: int = 4
+) -> list[Shard]:
+    """The tree with one more shard, where ``plan_tree`` would have it."""
     number = max((s.number for s in tree), default=-1) + 1
-    return [*tree, Shard(f"added{number}", "rack0", number, weight)]
-
-
-def _levels(tree: list[Shard]) -> list[dict[str, list[tuple[str, float]]]]:
-    """For each level, the children (name, weight) of every node that has a positive weight."""
-    if any(s.weight < 0 for s in tree) or not any(s.weight > 0 for s in tree):
-        raise ValueError("weights must not be negative, and one must be positive")
-    levels: list[dict[str, dict[str, float]]] = [{}, {}, {}]
-    for s in tree:
-        if s.weight == 0:
-            continue
-        path = ("", s.region, f"{s.region}/{s.rack}", f"{s.region}/{s.rack}/{s.number}")
-        for level, (node, child) in enumerate(zip(path, path[1:])):
-            children = levels[level].setdefault(node, {})
-            children[child] = children.get(child, 0.0) + s.weight
-    return [{node: list(children.items()) for node, children in level.items()} for level in levels]
+    return [*tree, _shard(number, weight, racks_per_region, shards_per_rack)]
 
 
-def draw(key: Column, child: Column, weight: Column) -> Column:
-    """The child's draw for a key: exponential with rate ``weight``, smaller is better."""
-    bits = F.conv(F.substring(F.md5(F.concat(key, F.lit("|"), child)), 1, 12), 16, 10).cast("double")
-    return -F.ln((bits + 0.5) / F.lit(2.0**48)) / weight
+def draw(key: Column, shard: Shard) -> Column:
+    """The shard's draw for a key: exponential with its weight as rate, smaller is better."""
+    name = F.concat(key, F.lit(f"|{shard.number}"))
+    bits = F.conv(F.substring(F.md5(name), 1, 12), 16, 10).cast("double")
+    return -F.ln((bits + 0.5) / F.lit(2.0**48)) / F.lit(float(shard.weight))
 
 
 def shard_of(key: Column, tree: list[Shard]) -> Column:
     """The shard number of a key, read as text; null keys share one shard."""
+    if any(s.weight < 0 for s in tree) or not any(s.weight > 0 for s in tree):
+        raise ValueError("weights must not be negative, and one must be positive")
     key = F.coalesce(key.cast("string"), F.lit("null"))
-    node = F.lit("")
-    for level in _levels(tree):
-        entries = [
-            x
-            for parent, children in level.items()
-            for x in (
-                F.lit(parent),
-                F.array(*[F.struct(F.lit(c).alias("child"), F.lit(w).alias("weight")) for c, w in children]),
-            )
-        ]
-        children = F.element_at(F.create_map(*entries), node)
-        draws = F.transform(
-            children, lambda c: F.struct(draw(key, c["child"], c["weight"]).alias("d"), c["child"].alias("child"))
-        )
-        # One element: the node reached is computed once and then bound.
-        node = F.array_min(draws)["child"]
-    return F.element_at(F.split(node, "/"), -1).cast("int")
+    racks: dict[tuple[str, str], list[Column]] = {}
+    for s in tree:
+        if s.weight > 0:
+            drawn = F.struct(draw(key, s).alias("draw"), F.lit(s.number).alias("number"))
+            racks.setdefault((s.region, s.rack), []).append(drawn)
+
+    # A node is an array of its children; its draw is that of its best shard.
+    def best(children: Column) -> Column:
+        return F.array_min(children)
+
+    regions: dict[str, list[Column]] = {}
+    for (region, _), shards in racks.items():
+        regions.setdefault(region, []).append(best(F.array(*shards)))
+    return best(F.array(*[best(F.array(*found)) for found in regions.values()]))["number"]
 
 
 def place_documents(

@@ -1,5 +1,7 @@
 """URL rules, sharding, outliers and licences."""
 
+import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -114,6 +116,28 @@ def test_many_equal_rows_are_written_out_in_parts(spark, monkeypatch):
     assert "Rebalance" in placed._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_shards_are_those_of_plain_draws_and_the_count_alone(spark):
+    def plain(key, tree):
+        nodes = {}
+        for s in tree:
+            u = (int(hashlib.md5(f"{key}|{s.number}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+            nodes.setdefault(s.region, {}).setdefault(s.rack, []).append((-math.log(u) / s.weight, s.number))
+        racks = min(nodes.values(), key=lambda racks: min(min(shards) for shards in racks.values()))
+        return min(min(racks.values(), key=min))[1]
+
+    trees = {n: weighted_tree.plan_tree(n) for n in (1, 7, 24, 25, 26)}
+    weighted = [s._replace(weight=1 + s.number % 3) for s in trees[24]]
+    columns = {f"s{n}": weighted_tree.shard_of(F.col("id"), tree) for n, tree in trees.items()}
+    columns["w"] = weighted_tree.shard_of(F.col("id"), weighted)
+    columns["added"] = weighted_tree.shard_of(F.col("id"), weighted_tree.add_shard(trees[24]))
+    rows = spark.range(6_000).withColumns(columns).collect()
+    for r in rows[:1_500]:
+        assert all(r[f"s{n}"] == plain(r.id, tree) for n, tree in trees.items()) and r.w == plain(r.id, weighted)
+    assert all(r.added == r.s25 and r.s25 in (r.s24, 24) and r.s26 in (r.s25, 25) for r in rows)
+    counts, total = Counter(r.w for r in rows), sum(s.weight for s in weighted)
+    assert all(0.75 < counts[s.number] / (6_000 * s.weight / total) < 1.25 for s in weighted)
+
+
 def test_a_changed_weight_moves_keys_only_with_its_subtree(spark):
     tree = weighted_tree.plan_tree(16)
     heavier = [s._replace(weight=3.0) if s.number == 5 else s for s in tree]
