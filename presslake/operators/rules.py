@@ -112,9 +112,5 @@ ARCHIVE_CARDS = RuleSet(
     base_url="https://www.elespectador.com",
 )
 
-# The source names of the daily pages, and where they are fetched.
+# The source names of the daily pages.
 DAILY_SOURCES = {"eltiempo": STORY_CARDS, "elespectador": CARD_CONTAINERS}
-DAILY_URLS = {
-    "eltiempo": "https://www.eltiempo.com/",
-    "elespectador": "https://www.elespectador.com/",
-}
