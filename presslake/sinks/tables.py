@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from presslake.schemas import FINAL_HEADLINE, FINAL_PARTITIONS, PROCESSED_HEADLINE, SCRAPED_HEADLINE
-from presslake.session import is_local, materialize
+from presslake.session import is_local, is_shared, materialize
 from presslake.sources.pages import qualified_root
 
 # Minimal quoting with doubled quotes; text is written as it is.
@@ -109,7 +109,8 @@ def write_objects(objects: DataFrame, root: str, body: str = "body") -> DataFram
     which tells of a failed one.
     """
     target = qualified_root(objects.sparkSession, root).replace("s3a://", "s3://")
-    if target.startswith("file:") and not is_local(objects.sparkSession):
+    spark = objects.sparkSession
+    if target.startswith("file:") and not is_local(spark) and not is_shared(spark, target):
         raise ValueError(f"{target} is a folder of each machine; objects must go to a shared store")
     kept = [name for name in objects.columns if name != body]
     fields = [objects.schema[name] for name in kept]

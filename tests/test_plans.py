@@ -30,6 +30,17 @@ def test_pages_are_not_written_to_each_machines_disk(spark, tmp_path, monkeypatc
         write_page_files(pages, str(tmp_path))
 
 
+def test_a_cluster_writes_pages_to_its_shared_folder(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([("s", "k.html", "x")], "source string, key string, html string")
+    monkeypatch.setattr("presslake.sinks.tables.is_local", lambda session: False)
+    monkeypatch.setattr("presslake.session.shared_dir", lambda session: f"file://{tmp_path}/shared")
+    rows = write_page_files(pages, f"{tmp_path}/shared/lake").collect()
+    assert [(row.key, row.n_bytes, row.error) for row in rows] == [("k.html", 1, None)]
+    assert (tmp_path / "shared/lake/k.html").read_text() == "x"
+    with pytest.raises(ValueError, match="each machine"):
+        write_page_files(pages, f"{tmp_path}/other")
+
+
 def test_event_pages_are_read_by_name(spark, tmp_path):
     write_file(tmp_path / "b1", "headlines/raw/a é.html", "<p>a</p>")
     write_file(tmp_path / "b2", "headlines/raw/a é.html", b"\xff")

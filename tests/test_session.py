@@ -31,6 +31,16 @@ def test_the_contexts_folder_is_used_where_none_is_configured():
     assert session.shared_dir(fake("spark://host", "hdfs://h/c/")) == "hdfs://h/c"
 
 
+@pytest.mark.parametrize("path, shared", [
+    ("file:/lake/tmp/a", True), ("file:///lake/tmp/a/b", True), ("/lake/tmp/a", True),
+    ("file:/lake/tmpx/a", False), ("file:/lake/tmp/../a", False), ("file:/elsewhere", False), ("s3a://lake/tmp/a", False),
+])
+def test_what_lies_in_the_shared_folder(path, shared):
+    assert session.is_shared(fake("spark://host", **{"spark.checkpoint.dir": "file:///lake/tmp/"}), path) == shared
+    assert session.is_shared(fake("spark://host", "file:/lake/tmp"), path) == shared
+    assert not session.is_shared(fake("spark://host"), path)
+
+
 def test_a_local_session_falls_back_to_one_folder():
     assert session.shared_dir(fake("local[2]")) == session.shared_dir(fake("local[2]"))
 
