@@ -340,6 +340,37 @@ def test_neighbours_agree_with_plain_bm25():
         assert index.neighbours(seed).tolist() == sorted(scores, key=lambda i: (-round(scores[i], 9), i))
 
 
+def test_blocks_of_text_give_the_ids_of_the_whole(monkeypatch):
+    texts = ["", "It's a day.", prose(5, 300), "  two  blanks ", prose(6, 50), "<|endoftext|> x", ""]
+    whole = [ids.tolist() for ids in encoder()(texts)]
+    read = []
+    block = Encoder._block
+    monkeypatch.setattr(Encoder, "_block", lambda self, some: read.append(sum(map(len, some))) or block(self, some))
+    monkeypatch.setattr("presslake.llm.byte_bpe.BLOCK_CHARS", 40)
+    assert [ids.tolist() for ids in encoder()(texts)] == whole
+    assert sum(read) == sum(map(len, texts)) and len(read) > 3
+    assert encoder()([]) == []
+
+
+def test_a_worker_learns_a_piece_once_for_all_its_tasks(monkeypatch):
+    text = "some zyxwords for a worker"
+    first = encoder()([text])[0].tolist()
+    learned = []
+    learn = Encoder._learn
+    monkeypatch.setattr(Encoder, "_learn", lambda self, *some: learned.append(len(some[1])) or learn(self, *some))
+    assert encoder()([text])[0].tolist() == first
+    assert sum(learned) == 0
+
+
+def test_index_blocks_give_the_terms_of_the_whole(monkeypatch):
+    texts = pa.array([prose(i % 5, 30 + i) if i % 4 else None for i in range(20)], pa.string())
+    words, rows = retrieval_packing.word_hashes(texts)
+    row, term, count = retrieval_packing._terms(words, rows)
+    monkeypatch.setattr("presslake.llm.words.blocks.__defaults__", (100,))
+    got = retrieval_packing._block_terms(texts)
+    assert all(np.array_equal(a, b) for a, b in zip(got, (row, term, count, rows)))
+
+
 def test_windows_take_the_seeds_neighbours():
     near = {0: [3, 1], 3: [2], 2: [4]}
     pieces = retrieval_packing.pack_shard(np.array([5, 4, 3, 4, 2]), lambda s: near.get(s, []), window=8)
