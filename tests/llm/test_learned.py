@@ -362,6 +362,31 @@ def test_a_worker_learns_a_piece_once_for_all_its_tasks(monkeypatch):
     assert sum(learned) == 0
 
 
+def test_known_pieces_are_found_by_hash():
+    from presslake.llm.byte_bpe import _Pieces
+
+    pieces, rng = _Pieces(), np.random.default_rng(3)
+    hashes = np.unique(rng.integers(0, 2**64, 9_000, dtype=np.uint64) & ~np.uint64(0xFF0))  # many share a place
+    rng.shuffle(hashes)
+    ids = {int(h): [i, *range(i % 3)] for i, h in enumerate(hashes)}
+    for some in np.array_split(hashes, 7):
+        assert not pieces.find(some).any()
+        own = [ids[int(h)] for h in some]
+        pieces.add(some, np.array([len(x) for x in own]), np.array(sum(own, []), np.uint32))
+    assert len(pieces) == len(hashes)
+    flat, counts = pieces.ids(pieces.find(hashes))
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == list(ids.values())
+    assert not pieces.find(hashes + np.uint64(1 << 5)).any()
+
+
+def test_forgotten_pieces_are_learned_again(monkeypatch):
+    texts = [prose(i, 40) for i in range(30)]
+    whole = [ids.tolist() for ids in encoder()(texts)]
+    monkeypatch.setattr("presslake.llm.byte_bpe.CACHED", 20)
+    monkeypatch.setattr("presslake.llm.byte_bpe.BLOCK_CHARS", 100)
+    assert [ids.tolist() for ids in encoder()(texts)] == whole
+
+
 def test_index_blocks_give_the_terms_of_the_whole(monkeypatch):
     texts = pa.array([prose(i % 5, 30 + i) if i % 4 else None for i in range(20)], pa.string())
     words, rows = retrieval_packing.word_hashes(texts)

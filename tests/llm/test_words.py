@@ -47,3 +47,15 @@ def test_blocks_cover_all_rows_in_order():
     parts = list(blocks([batch], "t", 12))
     assert pa.Table.from_batches(parts).column("t").to_pylist() == batch.column(0).to_pylist()
     assert len(parts) > 1
+
+
+def test_words_of_any_length_are_hashed_by_byte_and_place():
+    from presslake.llm.words import _BYTE, _PLACE, SHORT, mix, span_hashes
+
+    rng = np.random.default_rng(5)
+    lengths = np.array([1, SHORT + 1, 3, SHORT, 9_000, 2, SHORT - 1, 40, 1])
+    letters = rng.integers(0, 256, lengths.sum(), dtype=np.uint8)
+    words = np.split(letters, np.cumsum(lengths)[:-1])
+    sums = [(_BYTE[own] * _PLACE[np.arange(len(own)) & 4095]).sum() + np.uint64(len(own)) for own in words]
+    assert span_hashes(letters, lengths).tolist() == mix(np.array(sums)).tolist()
+    assert not len(span_hashes(letters[:0], lengths[:0]))
