@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslake.llm.words import tidy
 from presslake.session import materialize
 
 
@@ -56,7 +57,7 @@ def _reduced(edges: DataFrame) -> DataFrame:
                 ["a", "b"],
             )
 
-    return edges.mapInArrow(run, "a bigint, b bigint")
+    return edges.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from presslake.llm.components import connected_components
 from presslake.llm.counters import summed_table
-from presslake.llm.words import blocks, shingle_hashes, word_hashes
+from presslake.llm.words import blocks, shingle_hashes, tidy, word_hashes
 from presslake.session import materialize
 
 ORDER_BITS = 22  # counters that tell rare from frequent tokens; only the order depends on them
@@ -123,7 +123,7 @@ def sketches(documents: DataFrame, size: int, share: Fraction, order: np.ndarray
 
     kind = documents.schema["id"].dataType.simpleString()
     return documents.mapInArrow(
-        run,
+        tidy(run),
         f"id {kind}, text_key bigint, k1 bigint, k2 bigint, n bigint, prefix array<bigint>, "
         + ", ".join(f"{w} bigint" for w in _SKETCH),
     )
@@ -170,7 +170,7 @@ def _verified(
                         b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return grouped.mapInArrow(run, "a bigint, b bigint")
+    return grouped.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _texts_of(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from presslake.llm.sampling import Labelled, labelled_sample
-from presslake.llm.words import blocks, text_bytes, word_hashes
+from presslake.llm.words import blocks, text_bytes, tidy, word_hashes
 from presslake.session import materialize
 
 BITS = 16
@@ -172,7 +172,7 @@ def fit_rates(
                 sums[n] += tokens.sum()
             yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.float64()))], ["sums"])
 
-        parts = posteriors.mapInArrow(run, "sums array<double>")
+        parts = posteriors.mapInArrow(tidy(run), "sums array<double>")
         row = parts.agg(*[F.sum(F.col("sums")[i]) for i in range(n + 1)]).first()
         return np.array([x or 0.0 for x in row])
 
@@ -260,7 +260,7 @@ def _with_shares(documents: DataFrame, model: Model, text_col: str, plan: Plan |
 
     schema = StructType([documents.schema[name] for name in kept] + added)
     source = documents.select(text_col) if plan is None else documents.select(*kept)
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def mix_documents(documents: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from presslake.llm.sampling import Labelled, labelled_sample
-from presslake.llm.words import LOWER, WHITE, blocks, text_bytes
+from presslake.llm.words import LOWER, WHITE, blocks, text_bytes, tidy
 
 BITS = 19
 ORDERS = (4, 5, 6)
@@ -214,4 +214,4 @@ def score(documents: DataFrame, model: Model, text_col: str = "text") -> DataFra
             columns += [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "score", "predicted"])
 
-    return documents.select(*kept).mapInArrow(run, schema)
+    return documents.select(*kept).mapInArrow(tidy(run), schema)

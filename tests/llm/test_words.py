@@ -59,3 +59,31 @@ def test_words_of_any_length_are_hashed_by_byte_and_place():
     sums = [(_BYTE[own] * _PLACE[np.arange(len(own)) & 4095]).sum() + np.uint64(len(own)) for own in words]
     assert span_hashes(letters, lengths).tolist() == mix(np.array(sums)).tolist()
     assert not len(span_hashes(letters[:0], lengths[:0]))
+
+
+def test_a_task_gives_memory_back_when_it_has_ended(monkeypatch):
+    from presslake.llm import words
+
+    released = []
+    monkeypatch.setattr(words, "release", lambda: released.append(len(held)))
+    held: list[int] = []
+    for x in words.tidy(lambda batches: (2 * x for x in batches))([1, 2, 3]):
+        held.append(x)
+        assert not released
+    assert (held, released) == ([2, 4, 6], [3])
+
+
+def test_freed_memory_goes_back_to_the_system():
+    from presslake.llm.words import release
+
+    def held() -> int:
+        return int(open("/proc/self/statm").read().split()[1]) * 4_096
+
+    apart, freed = [], []
+    for _ in range(3_000):  # what stays lies between what is freed
+        freed.append(np.ones(2_000))
+        apart.append(np.ones(1))
+    before = held()
+    del freed
+    release()
+    assert before - held() > 20 << 20
