@@ -11,7 +11,6 @@ the way.
 
 from __future__ import annotations
 
-import re
 import time
 from collections.abc import Iterator
 
@@ -21,6 +20,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from presslake.functions.keys import RAW_PREFIX
 from presslake.operators.extract import PERMISSIVE
 from presslake.schemas import BINARY_FILE
+from presslake.sources.files import open_store
 
 FORMAT = "presslake_pages"
 SETTLE_SECONDS = 5.0
@@ -28,13 +28,6 @@ PARTITION_BYTES = 1 << 25
 PARTITION_FILES = 2_000
 
 
-def open_store(root: str):
-    """Arrow's file system for ``root``, and the path in it."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(re.sub("^file:/*", "file:///", root.replace("s3a://", "s3://")))
-
-
 class SomeFiles(InputPartition):
     def __init__(self, paths: list[str]):
         self.paths = paths

@@ -7,11 +7,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.functions.keys import RAW_PREFIX, decode_key, is_page_key
+from presslake.functions.keys import PAGE_SUFFIX, RAW_PREFIX, decode_key, is_page_key
 from presslake.operators.extract import FAILFAST, PERMISSIVE
 from presslake.schemas import BINARY_FILE, OBJECT_CREATED, RAW_PAGE
+from presslake.sources.files import dealt, is_readable, list_files, with_contents
+from presslake.sources.path_stream import stream_paths
 
-PAGE_FILES = "*.html"
+PAGE_FILES = f"*{PAGE_SUFFIX}"
+MAX_FILES_PER_TRIGGER = 10_000
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 BAD_ENCODING = "not valid UTF-8"
 BAD_EVENT = "not an object notification"
@@ -49,11 +52,19 @@ def decode_pages(files: DataFrame, root: str, mode: str = PERMISSIVE) -> DataFra
 def scan_pages(
     spark: SparkSession, root: str, prefix: str = RAW_PREFIX, mode: str = PERMISSIVE
 ) -> DataFrame:
-    """All page files below ``prefix`` of ``root``; no such folder gives no pages."""
+    """All page files below ``prefix`` of ``root``, as they are now; no such folder gives no pages.
+
+    Tasks list and read them, if Arrow has a file system for ``root``; else Spark's
+    file source does, which lists them on the driver.
+    """
+    root = qualified_root(spark, root)
+    if is_readable(root):
+        folder = f"{root}/{prefix.strip('/')}"
+        files = with_contents(dealt(list_files(spark, folder, PAGE_SUFFIX)), folder)
+        return decode_pages(files, root, mode)
     reader = spark.read.format("binaryFile").options(
         recursiveFileLookup=True, pathGlobFilter=PAGE_FILES
     )
-    root = qualified_root(spark, root)
     try:
         files = reader.load(f"{root}/{prefix}")
     except AnalysisException as error:
@@ -68,21 +79,35 @@ def stream_pages(
     root: str,
     prefix: str = RAW_PREFIX,
     mode: str = PERMISSIVE,
-    max_files_per_trigger: int = 10_000,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Page files as they arrive below ``prefix`` of ``root``."""
+    """Page files as they arrive below ``prefix`` of ``root``, a path once.
+
+    A batch takes in all that is new, or at most ``max_files_per_trigger`` as Spark's
+    own file stream finds them, whose driver holds all paths. Which paths were taken
+    in is kept in the query's state, so start it with ``state_in_rocksdb``. Tasks read
+    the files; where Arrow has no file system for ``root``, Spark's file stream does.
+    """
     root = qualified_root(spark, root)
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE)
-        .options(
-            recursiveFileLookup=True,
-            pathGlobFilter=PAGE_FILES,
-            maxFilesPerTrigger=max_files_per_trigger,
+    folder = f"{root}/{prefix.strip('/')}"
+    readable = is_readable(root)
+    if max_files_per_trigger is None and readable:
+        paths = stream_paths(spark, folder)
+    else:
+        files = (
+            spark.readStream.format("binaryFile")
+            .schema(BINARY_FILE)
+            .options(
+                recursiveFileLookup=True,
+                pathGlobFilter=PAGE_FILES,
+                maxFilesPerTrigger=max_files_per_trigger or MAX_FILES_PER_TRIGGER,
+            )
+            .load(folder)
         )
-        .load(f"{root}/{prefix}")
-    )
-    return decode_pages(files.select("path", "content"), root, mode)
+        if not readable:
+            return decode_pages(files.select("path", "content"), root, mode)
+        paths = files.select("path")
+    return decode_pages(with_contents(paths.dropDuplicates(["path"]), folder), root, mode)
 
 
 def event_objects(events: DataFrame, body: str = "body") -> DataFrame:

@@ -2,9 +2,9 @@
 
 Each file is read alone, and its rows are written to a file of their own whose
 key follows from the page's. So a batch that is run again, or a batch job over
-the same pages, writes the same files. No state is kept, but for the greatest
-key of each source and day where their pages share a file. A page is taken in
-once per path, or with ``rewritten`` whenever it is written.
+the same pages, writes the same files. The state, in RocksDB, has the paths taken
+in, and the greatest key of each source and day where their pages share a file.
+A page is taken in once per path, or with ``rewritten`` whenever it is written.
 """
 
 from __future__ import annotations
@@ -32,12 +32,12 @@ def _pages(spark: SparkSession, root: str, rewritten: bool, mode: str, options:
 
 
 def _start(
-    pages: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, once: bool, output: str = "append"
+    pages: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, once: bool
 ) -> StreamingQuery:
     writer = (
         pages.writeStream.foreachBatch(lambda batch, number: write(batch))
         .option("checkpointLocation", checkpoint)
-        .outputMode(output)
+        .outputMode("append")
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
 
@@ -59,7 +59,8 @@ def stream_processed(
     def write(batch: DataFrame) -> None:
         store_objects(processed_objects(batch, rules, mode), root)
 
-    return _start(pages, write, checkpoint, once)
+    with state_in_rocksdb(spark):
+        return _start(pages, write, checkpoint, once)
 
 
 def stream_final(
@@ -92,10 +93,11 @@ def stream_final(
             store_objects(batch.select(F.col("final_key").alias("key"), "body"), root)
 
         with state_in_rocksdb(spark):
-            return _start(last_writer_stream(objects), write_last, checkpoint, once, "update")
+            return _start(last_writer_stream(objects), write_last, checkpoint, once)
 
     def write(batch: DataFrame) -> None:
         files = materialize(partitioned_files(batch, rules, mode), "parsed")
         store_objects(final_objects(files, as_of), root)
 
-    return _start(pages, write, checkpoint, once)
+    with state_in_rocksdb(spark):
+        return _start(pages, write, checkpoint, once)
