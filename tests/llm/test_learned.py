@@ -396,6 +396,15 @@ def test_index_blocks_give_the_terms_of_the_whole(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(got, (row, term, count, rows)))
 
 
+def test_all_terms_of_a_seed_are_looked_up():
+    rare = [f"rare{i}" for i in range(30)]
+    texts = [" ".join([*rare, "common"]), *rare, "common"]
+    words = len(rare) * 2 + 2
+    table = np.full(1 << retrieval_packing.TERM_BITS, 2)
+    index = retrieval_packing.Index(pa.array(texts), retrieval_packing.Statistics(table, len(texts), words, None, None))
+    assert sorted(index.neighbours(0).tolist()) == list(range(1, 32))
+
+
 def test_windows_take_the_seeds_neighbours():
     near = {0: [3, 1], 3: [2], 2: [4]}
     pieces = retrieval_packing.pack_shard(np.array([5, 4, 3, 4, 2]), lambda s: near.get(s, []), window=8)
